@@ -38,7 +38,8 @@ def visible_form(text: str) -> str:
     A text of invisible characters only becomes the empty string."""
     if _PLAIN.fullmatch(text):
         return text
-    apart = unicodedata.normalize("NFKD", _INVISIBLE.sub("", text)).translate(_MAP)
+    # look-alikes are mapped before and after decomposition: some have a decomposition that no longer looks like them
+    apart = unicodedata.normalize("NFKD", _INVISIBLE.sub("", text).translate(_MAP)).translate(_MAP)
     return _BLANKS.sub(" ", unicodedata.normalize("NFKC", apart)).strip()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .addresses import same_location
 from .components import match_groups
 from .encode import encode_documents
 from .lookalike import same_to_the_eye
@@ -13,6 +14,10 @@ def p2_found(spark, d):
     return best_candidates(table(spark, d, "live_match_requests")).select("s1_id", "cand_id")
 
 
+def p3_found(spark, d):
+    return same_location(table(spark, d, "live_match_requests"), Stage(spark, "p3"))
+
+
 def p4_found(spark, d):
     return match_groups(table(spark, d, "matching_results"), Stage(spark, "p4"))
 
@@ -26,4 +31,4 @@ def p7_ids(spark, d):
 
 
 def queries():
-    return {"p2_found": p2_found, "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids}
