@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from .addresses import same_location
 from .components import match_groups
 from .encode import encode_documents
 from .lookalike import same_to_the_eye
-from .shared import Stage, table
+from .shared import Stage, ship, table
 from .topn import best_candidates
+from .variants import same_organisation
+
+
+def p1_found(spark, d):
+    return same_organisation(table(spark, d, "live_match_requests"), Stage(spark, "p1"))
 
 
 def p2_found(spark, d):
@@ -30,5 +37,15 @@ def p7_ids(spark, d):
     return encode_documents(table(spark, d, "documents"))
 
 
+def _shipped(query):
+    @wraps(query)
+    def run(spark, d):
+        ship(spark)
+        return query(spark, d)
+
+    return run
+
+
 def queries():
-    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_ids": p7_ids}
+    found = [p1_found, p2_found, p3_found, p4_found, p6_found, p7_ids]
+    return {q.__name__: _shipped(q) for q in found}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,20 @@ class Stage:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the package to the Python workers of a session, once; they may run where it isn't installed."""
+    context = spark.sparkContext
+    if getattr(context, "_entitylink_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="entitylink-")) / "entitylink.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._entitylink_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
