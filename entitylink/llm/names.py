@@ -38,7 +38,7 @@ SHORT = {
 GIVEN = {
     "margaret": "maggie peggy meg", "anthony": "tony", "henrietta": "hattie etta", "theodora": "dora thea", "alexander": "alec alex sandy", "william": "will bill billy",
     "richard": "rick dick", "elizabeth": "liz betty beth eliza", "robert": "rob bob bobby", "charlotte": "lottie", "edward": "ned ted ed eddie", "katherine": "kate kathy katie",
-    "susannah": "sue susie", "frederick": "fred freddie fritz", "margarete": "grete gretel", "johannes": "hannes hans", "gunther": "", "friedrich": "fritz", "guillaume": "guillou",
+    "susannah": "sue susie", "frederick": "fred freddie fritz", "margarete": "grete gretel", "johannes": "hannes hans", "gunther": "gunni", "friedrich": "fritz", "guillaume": "guillou",
     "elisabeth": "babeth", "madeleine": "mado", "frederic": "fred",
 }
 KIN = {"sons", "son", "daughters", "daughter", "partners", "partner"}
@@ -50,18 +50,27 @@ LEGAL = set("ltd limited llp llc inc incorporated corp corporation pvt private p
 _NOTE = re.compile(r"\(\s*(?:hq|head office|head|main branch|main|branch\s*\w*|formerly[^)]*|p|pvt)\s*\)?|#\s*\d+|\b(?:head office|main branch|branch \d+|formerly trading)\b")
 _LETTERED = re.compile(r"\b(?:[^\W\d_]\.){2,}(?:[^\W\d_]\b)?|\b(?:[^\W\d_]\.){1,}[^\W\d_]{1,2}\.")
 _START = re.compile(r"^(?:m\s*/\s*s\b\.?\s*|messrs\b\.?\s*|the\s+|la\s+|le\s+|les\s+|der\s+|die\s+|das\s+)")
-_WEB = re.compile(r"^(?:https?://)?(?:www\s*\.)?([^\s/.]+(?:\.[^\s/.]+)*)\.(?:com|org|net|example|test|invalid|[a-z]{2,7})/?$")
+_WEB = re.compile(r"^(?:https?://)?(?:www\s*\.)?([^\s/.]+(?:\.[^\s/.]+)*)\.(?:com|org|net|info|biz|edu|gov|io|co|eu|in|fr|de|uk|bg|example|test|invalid)/?$")
 _LEET = str.maketrans("013457@$", "oieastas")
 _LEET_AT = re.compile(r"(?<=[^\W\d_])[013457@$]+|[013457@$]+(?=[^\W\d_])")
 _ACRONYM = re.compile(r"^\s*([^\W\d_]{2,7})\s*\(\s*([^)]{5,})\)?\s*(.*)$")
 _WORD = re.compile(r"[^\s,;|/()\[\].&+\-–—]+")
 
 
+_CYRILLIC = re.compile("[\u0400-\u04ff]")
+_CYRILLIC_WORD = re.compile("[\u0400-\u04ffABCEHIJKMOPSTXYaceiopsxyjh]+")
+_SMALL = str.maketrans("BHMKT", "внмкт")
+
+
 def plain(text: str) -> str:
     """Case-folded visible form without accents (combining marks of other scripts stay)."""
-    t = visible_form(text).casefold()
+    t = visible_form(text)
     if t.isascii():
-        return t
+        return t.casefold()
+    if _CYRILLIC.search(t):
+        # capitals that look Latin while their small letters don't: back to the small letters, in words of this script
+        t = _CYRILLIC_WORD.sub(lambda m: m[0].translate(_SMALL), t)
+    t = t.casefold()
     apart = unicodedata.normalize("NFD", t)
     return unicodedata.normalize("NFC", "".join(ch for ch in apart if not "̀" <= ch <= "ͯ"))
 
@@ -81,8 +90,7 @@ _LEGAL = {plain(w) for w in LEGAL}
 _DROPPED = {"and", "n", "und", "et", "и", "और"}
 _COMPACT = sorted({"".join(p) for p in _FULL} | {"toursandtravels", "gardencentre"}, key=len, reverse=True)
 _COMPACT_LINE = {"".join(p): p for p in _FULL} | {"toursandtravels": ("tours", "travels"), "gardencentre": ("garden", "center")}
-_COMPACT_ONE = {w: (c,) for w, c in _LINE_WORD.items() if len(w) >= 5}
-_FIRST = {p[0]: p for p in _FULL if len(p) > 1}
+_COMPACT_ONE = {w: (c,) for w, c in _LINE_WORD.items() if len(w) >= 5} | {p[0]: (p[0],) for p in _FULL if len(p) > 1 and len(p[0]) >= 3}
 
 
 def _deletes(w: str) -> set[str]:
@@ -98,13 +106,13 @@ def _near_index(words) -> dict[str, str]:
     return index
 
 
-_NEAR_LINE = _near_index([w for w, c in _LINE_WORD.items() if w == c])
+_NEAR_LINE = _near_index([w for w, c in _LINE_WORD.items() if w == c or len(w) >= 7])
 _NEAR_GIVEN = _near_index([w for w in _GIVEN if len(w) >= 6])
 
 
-def _near(word: str, index: dict[str, str]) -> str | None:
+def _near(word: str, index: dict[str, str], least: int = 5) -> str | None:
     """The dictionary word one letter, swap or doubled letter away."""
-    if len(word) < 5:
+    if len(word) < least:
         return None
     for v in (word, *sorted(_deletes(word))):
         found = index.get(v)
@@ -123,12 +131,16 @@ def _web_parts(host: str) -> tuple[str, str, tuple[str, ...]]:
     rest, line, given = re.sub(r"[^\w]", "", host), (), ""
     for index in (_COMPACT, None):
         for c in index if index else sorted(_COMPACT_ONE, key=len, reverse=True):
-            if len(rest) - len(c) >= 4 and (rest.endswith(c) or rest.startswith(c)):
+            if len(rest) - len(c) >= (4 if index else 6) and (rest.endswith(c) or rest.startswith(c)):
                 line = _COMPACT_LINE[c] if index else _COMPACT_ONE[c]
                 rest = rest[: -len(c)] if rest.endswith(c) else rest[len(c) :]
                 break
         if line:
             break
+    for w, c in sorted(_LINE_WORD.items(), key=lambda x: (-len(x[0]), x[0])):  # a phrase of which one word is abbreviated
+        if line and len(w) >= 3 and rest.endswith(w) and (c, *line) in _FULL and len(rest) - len(w) >= 6:
+            line, rest = (c, *line), rest[: -len(w)]
+            break
     for k in ("daughters", "partners", "sons"):
         if rest.endswith(k) and len(rest) - len(k) >= 6:
             rest = re.sub(r"(?:and|n)$", "", rest[: -len(k)]) if len(rest) - len(k) > 9 else rest[: -len(k)]
@@ -185,7 +197,7 @@ def parse_name(text: str, towns: frozenset[str] = frozenset()) -> tuple[str, str
             brand.append(w)
     if len(brand) > 1 and tuple(line) not in _FULL:
         for i, w in enumerate(brand):
-            if len(brand) > 1 and (c := _near(w, _NEAR_LINE)) and (not line or _joins(line, c)):
+            if len(brand) > 1 and (c := _near(w, _NEAR_LINE, 4 if line else 5)) and (not line or _joins(line, c)):
                 brand[i] = ""
                 at = sum(1 for x in words[: words.index(w)] if x in _LINE_WORD)
                 line.insert(at, _LINE_WORD[c])
@@ -194,7 +206,7 @@ def parse_name(text: str, towns: frozenset[str] = frozenset()) -> tuple[str, str
         brand = [w for w in brand if w]
     if not given and len(brand) > 1:
         for w in brand:
-            if len(w) == 1 and kin or len(w) == 1 and w == brand[0] and len(brand) == 2 and len(brand[1]) > 6:
+            if len(w) == 1 and (kin or len(brand) == 2 and len("".join(brand)) > 7):
                 given = w
                 brand.remove(w)
                 break

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import wraps
 
+from pyspark.sql import functions as F
+
 from .addresses import same_location
 from .components import match_groups
+from .establishments import LEAST_CONFIDENCE, RULES, same_establishment
 from .encode import encode_documents
 from .lookalike import same_to_the_eye
 from .shared import Stage, ship, table
@@ -29,6 +32,20 @@ def p4_found(spark, d):
     return match_groups(table(spark, d, "matching_results"), Stage(spark, "p4"))
 
 
+def _p5(spark, d):
+    return same_establishment(table(spark, d, "live_match_requests"), table(spark, d, "known_matches"), Stage(spark, "p5"))
+
+
+def p5_found(spark, d):
+    return _p5(spark, d).filter(F.col("confidence") >= LEAST_CONFIDENCE).select("s1_id", "cand_id")
+
+
+def p5_rules(spark, d):
+    """Pairs and confidence of each rule."""
+    names = F.array(*[F.lit(r[0]) for r in RULES])
+    return _p5(spark, d).groupBy("rule").agg(F.count(F.lit(1)).alias("pairs"), F.max("confidence").alias("confidence")).withColumn("rule", F.get(names, F.col("rule")))
+
+
 def p6_found(spark, d):
     return same_to_the_eye(table(spark, d, "live_match_requests").select("s1_id", "s1_name", "s1_addr", "cand_id", "cand_name", "cand_addr"))
 
@@ -47,5 +64,5 @@ def _shipped(query):
 
 
 def queries():
-    found = [p1_found, p2_found, p3_found, p4_found, p6_found, p7_ids]
+    found = [p1_found, p2_found, p3_found, p4_found, p5_found, p5_rules, p6_found, p7_ids]
     return {q.__name__: _shipped(q) for q in found}
