@@ -11,8 +11,10 @@ from .components import match_groups
 from .establishments import LEAST_CONFIDENCE, RULES, same_establishment
 from .encode import encode_documents
 from .lookalike import same_to_the_eye
+from .mixing import mixture, shares
 from .shared import Stage, ship, table
 from .topn import best_candidates
+from .truncation import truncated, truncation_rates
 from .variants import same_organisation
 
 
@@ -54,6 +56,24 @@ def p7_ids(spark, d):
     return encode_documents(table(spark, d, "documents"))
 
 
+def p8_mix(spark, d):
+    return mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), Stage(spark, "p8"))
+
+
+def p8_shares(spark, d):
+    stage = Stage(spark, "p8")
+    targets = table(spark, d, "mix_targets")
+    return shares(stage.put("mix", mixture(table(spark, d, "documents"), targets, stage)), targets)
+
+
+def p9_found(spark, d):
+    return truncated(table(spark, d, "documents"), Stage(spark, "p9"))
+
+
+def p9_rates(spark, d):
+    return truncation_rates(table(spark, d, "documents"), Stage(spark, "p9"))
+
+
 def _shipped(query):
     @wraps(query)
     def run(spark, d):
@@ -64,5 +84,5 @@ def _shipped(query):
 
 
 def queries():
-    found = [p1_found, p2_found, p3_found, p4_found, p5_found, p5_rules, p6_found, p7_ids]
+    found = [p1_found, p2_found, p3_found, p4_found, p5_found, p5_rules, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_rates]
     return {q.__name__: _shipped(q) for q in found}
