@@ -57,8 +57,8 @@ def endings(documents: DataFrame) -> DataFrame:
     df = df.withColumn("dotted", ~F.col("marked") & F.col("shown").rlike(_DOTS)).filter(F.col("body") != "")
     tail = F.substring("body", -160, 160)
     kind = (
-        F.when(F.col("marked"), "marked")
-        .when(F.col("shown").rlike(_QUOTED_END), "quoted")
+        F.when(F.col("shown").rlike(_QUOTED_END), "quoted")
+        .when(F.col("marked"), "marked")
         .when(tail.rlike(_CODE_END) | tail.rlike(_SIGNED) | tail.rlike(_LINK_END), "finished")
         .when(tail.rlike(_BROKEN_END), "broken")
         .when(tail.rlike(r"[.!?…।॥。！？؟][\"'”’»)\]}*_]*$"), "stopped")
