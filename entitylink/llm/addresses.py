@@ -185,16 +185,22 @@ def parsed(texts: pd.Series) -> pd.DataFrame:
 
 def locations(addresses: DataFrame) -> DataFrame:
     """``addr, place, number, ...``: the distinct addresses with their components and a text that names the parsed place.
-    Addresses that are none are left out."""
+
+    Addresses that are none are left out. The city of an address with a postal code is the one most addresses of that code give,
+    so a missing or misspelt city does no harm where the code tells it.
+    """
     p = addresses.select("addr").distinct().withColumn("p", parsed(F.col("addr"))).select("addr", "p.*").filter("number <> '' and street <> ''")
-    return p.withColumn("place", F.concat_ws("|", *FIELDS))
+    given = p.filter("postal <> '' and city <> ''").groupBy("postal", "city").agg(F.count(F.lit(1)).alias("n"))
+    usual = given.groupBy("postal").agg(F.max(F.struct("n", "city")).alias("most")).filter("most.n > 1").select("postal", F.col("most.city").alias("usual"))
+    p = p.join(usual, "postal", "left").withColumn("city", F.coalesce("usual", "city"))
+    return p.select("addr", F.concat_ws("|", *FIELDS).alias("place"), *FIELDS)
 
 
-def _close(a: str, b: str, least: int = 4):
-    """Whether two words are few letters apart: one in short words, two from six letters, three from ten."""
+def _close(a: str, b: str, more: int = 0):
+    """Whether two words are few letters apart: one in short words, two from six letters, three from ten, and ``more`` in the longer."""
     x, y = F.col(a), F.col(b)
     short = F.least(F.length(x), F.length(y))
-    allowed = F.when(short >= 10, 3).when(short >= 6, 2).when(short >= least, 1).otherwise(0)
+    allowed = F.when(short >= 10, 3 + more).when(short >= 6, 2 + more).when(short >= 4, 1).otherwise(0)
     return F.levenshtein(x, y) <= allowed
 
 
@@ -213,6 +219,7 @@ def same_place_pairs(places: DataFrame) -> DataFrame:
     coded, bare = p.filter("postal <> ''"), p.filter("postal = ''")
     alike = _agree("kind") & _agree("direction")
     street = (F.expr("a.street = b.street") | _close("a.street", "b.street")) & alike
+    street_of_code = (F.expr("a.street = b.street") | _close("a.street", "b.street", 1)) & alike
     city = F.expr("a.city = b.city") | _close("a.city", "b.city") | F.expr("(a.city = '' or b.city = '') and a.region = b.region and a.region <> ''")
     found = []
 
@@ -234,7 +241,7 @@ def same_place_pairs(places: DataFrame) -> DataFrame:
                 cond = cond & F.expr("a.place < b.place")
             found.append(x.alias("a").join(y.alias("b"), cond).filter(test).select(F.expr("least(a.place, b.place)").alias("pa"), F.expr("greatest(a.place, b.place)").alias("pb")))
 
-    meet(coded, coded, ["number", "postal"], street, True)
+    meet(coded, coded, ["number", "postal"], street_of_code, True)
     for other, ordered in ((coded, False), (bare, True)):
         meet(bare, other, ["number", "street"], city & alike, ordered)
         meet(bare.filter("city <> ''"), other, ["number", "city"], street & F.expr("a.street <> b.street"), ordered)
