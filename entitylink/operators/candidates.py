@@ -20,9 +20,9 @@ def cosine_topk(queries: DataFrame, candidates: DataFrame, k: int = 25, min_scor
     """``s1_id, cid, score, rank`` of the ``k`` candidates of highest cosine of raw token counts, in the query's country.
 
     Tokens in too many candidates are dropped on both sides. The query's norm counts tokens that no candidate has, so it is taken
-    before the join. Ties by candidate id.
+    before the join. Ties by candidate id. The candidates' token counts are used three times and kept in memory or on disk.
     """
-    tf_c = index.term_frequency(candidates)
+    tf_c = index.term_frequency(candidates).persist()
     banned = index.banned_tokens(tf_c, candidates)
     c, q = index.pruned(tf_c, banned), index.pruned(index.term_frequency(queries), banned)
     unit = lambda df: df.withColumn("u", F.col("tf") / F.sqrt(F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy("country", "entity_id"))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +46,15 @@ class World:
         s1 = self.source(1)
         return records.of_countries(self.source(2).unionByName(self.source(3)), s1)
 
-    @property
+    # cleaned records are read by every channel and by the features: kept in memory or on disk until the session's cache is cleared
+
+    @cached_property
     def q(self):
-        return index.cleaned(self.source(1))
+        return index.cleaned(self.source(1)).persist()
 
-    @property
+    @cached_property
     def c(self):
-        return index.cleaned(self.pool)
+        return index.cleaned(self.pool).persist()
 
     @property
     def truth(self):
