@@ -183,13 +183,14 @@ def parsed(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([r if r else (None,) * len(FIELDS) for r in rows], columns=FIELDS)
 
 
-def locations(addresses: DataFrame) -> DataFrame:
+def locations(addresses: DataFrame, stage: Stage) -> DataFrame:
     """``addr, place, number, ...``: the distinct addresses with their components and a text that names the parsed place.
 
     Addresses that are none are left out. The city of an address with a postal code is the one most addresses of that code give,
     so a missing or misspelt city does no harm where the code tells it.
     """
     p = addresses.select("addr").distinct().withColumn("p", parsed(F.col("addr"))).select("addr", "p.*").filter("number <> '' and street <> ''")
+    p = stage.put("parsed", p)  # read twice: addresses are parsed once
     given = p.filter("postal <> '' and city <> ''").groupBy("postal", "city").agg(F.count(F.lit(1)).alias("n"))
     usual = given.groupBy("postal").agg(F.max(F.struct("n", "city")).alias("most")).filter("most.n > 1").select("postal", F.col("most.city").alias("usual"))
     p = p.join(usual, "postal", "left").withColumn("city", F.coalesce("usual", "city"))
@@ -255,7 +256,7 @@ def same_location(live: DataFrame, stage: Stage) -> DataFrame:
     """``id_a, id_b``: records with different stored addresses that denote the same location. Null, blank and filler
     addresses pair with nothing; an empty table gives an empty result."""
     recs = stage.put("records", records(live).filter(F.col("addr").isNotNull()).select("id", "addr"))
-    places = stage.put("places", locations(recs))
+    places = stage.put("places", locations(recs, stage))
     pairs = same_place_pairs(places)
     at = recs.join(places.select("addr", "place"), "addr")
     within = expand_variants(at, "place", "addr")
