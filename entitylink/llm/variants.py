@@ -2,8 +2,8 @@
 
 1. Each distinct stored name is parsed (names.py); names with the same brand, given name and line are one *spelling*.
 2. Spellings become vectors of character n-grams of the brand, weighted by inverse document frequency over all spellings.
-3. A prefix-filtered join finds all pairs of spellings of one line whose cosine can reach the threshold: of each vector only
-   the rarest n-grams are indexed, as many as a pair needs to share. Nothing is capped; the join is exact for the threshold.
+3. A prefix-filtered join finds all pairs of spellings of one line, or of a line and none, whose cosine can reach the threshold: of
+   each vector only the rarest n-grams are indexed, as many as a pair needs to share. Nothing is capped; the join is exact for the threshold.
 4. A pair is kept if typing slips explain the difference and line and given name agree.
 5. Connected spellings are grouped by average linkage, in which spellings of different lines or given names repel.
 """
@@ -26,7 +26,6 @@ from .shared import Stage, records
 #: Words in more than this share of the addresses are taken for place words; at most (words an address) / share words can be.
 TOWN_SHARE = 0.001
 GRAM = 4
-LONG_GRAM = 6
 #: Share of the spellings added to each document frequency: an n-gram that a slip made is rare without telling much.
 SMOOTHING = 1e-4
 COSINE = 0.28
@@ -176,11 +175,11 @@ def similar_spellings(parts: DataFrame, stage: Stage) -> DataFrame:
         posting.alias("a").join(posting.alias("b"), F.expr("a.block = b.block and a.gram = b.gram and a.sid < b.sid"))
         .filter(f"abs(a.n - b.n) <= 2 and {has} and {near}").select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b"))
     )
-    # spellings without a line meet those of any line on longer grams
-    long = words.select("sid", "folded", "line", F.substring("given", 1, 1).alias("g1"), F.length("folded").alias("n"), F.explode(_grams("folded", LONG_GRAM)).alias("gram"))
+    # spellings without a line meet those of any line on the same grams; the length in the key, which a pair may differ by 2 in, splits frequent grams
+    lined = posting.filter("block <> ''").withColumn("m", F.col("n"))
+    bare = posting.filter("block = ''").withColumn("m", F.explode(F.expr("sequence(n - 2, n + 2)")))
     no_line = (
-        long.filter("line = ''").alias("a").join(long.filter("line <> ''").alias("b"), F.expr("a.gram = b.gram"))
-        .filter(f"abs(a.n - b.n) <= 2 and {has} and {near}")
+        bare.alias("a").join(lined.alias("b"), F.expr(f"a.gram = b.gram and a.m = b.m and {has}")).filter(near)
         .select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"))
     )
     pairs = one_line.unionByName(no_line).distinct()
@@ -200,7 +199,6 @@ def similar_spellings(parts: DataFrame, stage: Stage) -> DataFrame:
             out.append(float(dot / math.sqrt(np.dot(v, v) * np.dot(w, w))))
         return pd.Series(out)
 
-    # the n-grams of spellings of other lines aren't held to the threshold of those within one line
     return (
         pairs.join(side("a"), "a").join(side("b"), "b")
         .select("a", "b", link("folded_a", "folded_b", "given_a", "given_b", "line_a", "line_b", "all_grams_a", "all_grams_b", "weights_a", "weights_b").alias("cosine"))

@@ -97,6 +97,12 @@ def test_same_organisation(spark):
     assert variants.same_organisation(live(spark, []), Stage(spark, "t")).count() == 0
 
 
+def test_line_less_spelling_with_a_slip_in_the_middle(spark):
+    """Ten letters with one slip in the middle have no run of six letters in common."""
+    got = pairs(variants.same_organisation(live(spark, [("S1-1", "Danhujispro Ltd", "1 A Road", "S2-1", "Danhukispro Bakery", "1 A Road", 1.0, 1), ("S1-2", "Mordra Brunbrel Bakery", "2 B Road", "S2-2", "Gorfuwel Plumbing", "2 B Road", 1.0, 1)]), Stage(spark, "t")))
+    assert got == {("S1-1", "S2-1")}
+
+
 def test_same_location(spark):
     got = pairs(addresses.same_location(live(spark, ROWS), Stage(spark, "t")))
     # the record without a unit stands with both units, which contradict each other
