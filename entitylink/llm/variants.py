@@ -32,8 +32,12 @@ COSINE = 0.28
 #: Typing slips that two spellings may differ by: half of it each from the common form.
 SLIPS = 2.0
 LINKAGE = 0.45
-#: Components of at most so many spellings are clustered in one task; larger ones by distributed rounds, with the same result rule.
+#: Likenesses are whole multiples of this: sums of them are exact in any order, so equal means are equal numbers.
+UNIT = 0.05
+#: Components of at most so many spellings are clustered in one task; larger ones by distributed rounds, with the same result.
 IN_ONE_TASK = 1500
+#: Tasks that the spellings of one component, line and length are compared in, if the component is larger than that.
+SPREAD = 8
 
 # Fixed value: rows of a keyboard, for slips to a neighbouring key.
 _ROWS = ["qwertyuiop", "asdfghjkl", "zxcvbnm"]
@@ -85,6 +89,10 @@ def slips(a: str, b: str, most: float = 4.0) -> float:
     return float(last[m]) if last[m] <= most else math.inf
 
 
+#: All bits of a 64-bit number but the sign.
+_LOW_BITS = (1 << 63) - 1
+
+
 def lines_agree(a: str, b: str) -> bool:
     """Equal, missing on one side, or one cut after whole words of the other."""
     return a == b or not a or not b or a.startswith(b + " ") or b.startswith(a + " ")
@@ -215,9 +223,9 @@ def likeness(a: tuple[str, str, str], b: tuple[str, str, str]) -> float:
     return 0.0 if s == math.inf else 1.0 - 0.15 * s
 
 
-def average_linkage(sim: np.ndarray, least: float = LINKAGE) -> np.ndarray:
+def average_linkage(sim: np.ndarray, least: float = LINKAGE, keys: np.ndarray | None = None) -> np.ndarray:
     """Cluster number of each row: the two clusters of highest mean similarity merge until none reaches ``least``; of equal
-    ones those of the smallest rows."""
+    ones those of the smallest rows, or with ``keys``, distinct numbers of the rows, those whose keys differ in the lowest bits."""
     n = len(sim)
     label, size = np.arange(n), np.ones(n)
     total = sim.astype(float).copy()
@@ -225,7 +233,11 @@ def average_linkage(sim: np.ndarray, least: float = LINKAGE) -> np.ndarray:
     alive = np.ones(n, dtype=bool)
     while alive.sum() > 1:
         mean = total / np.outer(size, size)
-        at = int(np.argmax(np.where(np.triu(np.ones_like(mean, dtype=bool), 1) & np.outer(alive, alive), mean, -np.inf)))
+        mean = np.where(np.triu(np.ones_like(mean, dtype=bool), 1) & np.outer(alive, alive), mean, -np.inf)
+        at = int(np.argmax(mean))
+        if keys is not None:
+            ties = np.flatnonzero(mean == mean.flat[at])
+            at = int(ties[np.argmin((keys[ties // n] ^ keys[ties % n]) & _LOW_BITS)])
         i, j = divmod(at, n)
         if mean[i, j] < least:
             break
@@ -238,15 +250,16 @@ def average_linkage(sim: np.ndarray, least: float = LINKAGE) -> np.ndarray:
     return label
 
 
-def _cluster(rows: list[tuple[str, str, str]]) -> np.ndarray:
+def _cluster(rows: list[tuple[str, str, str]], keys: list[int]) -> np.ndarray:
+    """Cluster number of each row; the keys ascend."""
     n = len(rows)
     if n == 2:
         return np.array([0, 0 if likeness(*rows) >= LINKAGE else 1])
     sim = np.zeros((n, n))
     for i in range(n):
         for j in range(i + 1, n):
-            sim[i, j] = sim[j, i] = likeness(rows[i], rows[j])
-    return average_linkage(sim)
+            sim[i, j] = sim[j, i] = round(likeness(rows[i], rows[j]) / UNIT)
+    return average_linkage(sim, round(LINKAGE / UNIT), np.array(keys, dtype=np.int64))
 
 
 def linkage_in_tasks(words: DataFrame) -> DataFrame:
@@ -256,35 +269,84 @@ def linkage_in_tasks(words: DataFrame) -> DataFrame:
     def orgs(members: pd.Series) -> pd.Series:
         out = []
         for group in members:
-            label = _cluster([(m["folded"], m["given"], m["line"]) for m in group])
+            label = _cluster([(m["folded"], m["given"], m["line"]) for m in group], [m["sid"] for m in group])
             out.append([group[int(k)]["sid"] for k in label])
         return pd.Series(out)
 
     spark = words.sparkSession
     # a fixed number of partitions: few bytes are much work here, which merging partitions by bytes would put into a few tasks
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = words.repartition(tasks, "component").groupBy("component").agg(F.sort_array(F.collect_list(F.struct("folded", "given", "line", "sid"))).alias("members"))
+    packed = words.repartition(tasks, "component").groupBy("component").agg(F.sort_array(F.collect_list(F.struct("sid", "folded", "given", "line"))).alias("members"))
     return packed.select("members", orgs("members").alias("orgs")).select(F.explode(F.arrays_zip("members.sid", "orgs")).alias("m")).select("m.sid", F.col("m.orgs").alias("org"))
 
 
-def linkage_rounds(vertices: DataFrame, edges: DataFrame, stage: Stage, least: float = LINKAGE, max_rounds: int = 500) -> DataFrame:
+def _agree(a: str, b: str) -> str:
+    """SQL of ``lines_agree`` and ``givens_agree`` between two aliases."""
+    g, h = f"split({a}.given, '/')", f"split({b}.given, '/')"
+    initial = f"exists({g}, g -> exists({h}, h -> startswith(g, h) or startswith(h, g)))"
+    lines = f"({a}.line = {b}.line or {a}.line = '' or {b}.line = '' or startswith({a}.line, concat({b}.line, ' ')) or startswith({b}.line, concat({a}.line, ' ')))"
+    givens = f"({a}.given = {b}.given or {a}.given <> '' and {b}.given <> '' and if(length({a}.given) = 1 or length({b}.given) = 1, {initial}, arrays_overlap({g}, {h})))"
+    return f"({lines} and {givens})"
+
+
+def alike_in_components(words: DataFrame) -> DataFrame:
+    """``a, b, s``: all pairs of spellings of one component with a likeness above 0, in units of UNIT. Only what can't differ in
+    more than 4 slips' cost is left out before the slips are counted: 5 letters in length, 9 in the letters used or by edits."""
+    letters = "aggregate(split(folded, ''), 0L, (m, ch) -> if(ch = '', m, m | shiftleft(1L, pmod(ascii(ch), 64))))"
+    w = words.select("component", "sid", "folded", "given", "line", F.split("line", " ")[0].alias("block"), F.length("folded").alias("n"), F.expr(letters).alias("letters"))
+    # lengths within 4 lie in the same or a neighbouring four; each spelling of the right side goes to every part of the left
+    left = w.withColumns({"four": F.floor(F.col("n") / 4), "part": F.pmod("sid", F.lit(SPREAD))})
+    right = w.withColumn("four", F.explode(F.expr("transform(array(-1, 0, 1), i -> floor(n / 4) + i)"))).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    met = "a.component = b.component and a.four = b.four and a.part = b.part"
+    near = f"abs(a.n - b.n) <= 4 and bit_count(a.letters ^ b.letters) <= 8 and {_agree('a', 'b')} and levenshtein(a.folded, b.folded, 8) >= 0"
+    out = [F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"), F.col("a.folded").alias("x"), F.col("b.folded").alias("y")]
+    one_line = left.alias("a").join(right.alias("b"), F.expr(f"{met} and a.block = b.block")).filter(f"a.sid < b.sid and {near}").select(*out)
+    no_line = left.filter("block = ''").alias("a").join(right.filter("block <> ''").alias("b"), F.expr(met)).filter(near).select(*out)
+
+    @F.pandas_udf("double")
+    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([float(max(0, round(likeness((a, "", ""), (b, "", "")) / UNIT))) for a, b in zip(x, y)])
+
+    return one_line.unionByName(no_line).select("a", "b", alike("x", "y").alias("s")).filter("s > 0")
+
+
+def linkage_rounds(vertices: DataFrame, edges: DataFrame, stage: Stage, least: float = LINKAGE, max_rounds: int = 500, repel: float = 0.0) -> DataFrame:
     """``sid, org`` by average linkage over rows: in each round, clusters that are each other's best merge. Pairs without an edge
-    count as 0. This is the way for components too large for one task; the mean similarity of a merged cluster never exceeds the
-    larger of its parts', so merging mutual bests in any order gives the clusters that merging the global best gives."""
-    member = stage.put("member", vertices.select("sid", F.col("sid").alias("org"), F.lit(1.0).alias("weight")))
-    links = stage.put("links", edges.select("a", "b", "s").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "s")))
+    count as 0, or as ``-repel`` if their line or given name (then columns of ``vertices``) disagree; these are counted from the numbers
+    of spellings by line and given name of two clusters, not from pairs.
+
+    This is the way for components too large for one task. The mean similarity of a merged cluster never exceeds the larger of its
+    parts', and pairs of equal means have one order for good, by the bits their ids differ in; so merging mutual bests in any order
+    gives the clusters that merging the global best gives. That order is as good as random, so many equal pairs don't take many rounds.
+    """
+    named = ["given", "line"] if repel else []
+    member = stage.put("member", vertices.select("sid", F.col("sid").alias("org"), F.lit(1.0).alias("weight"), *named))
+    links = stage.put("links", edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s"))
     for _ in range(max_rounds):
         size = member.groupBy("org").agg(F.sum("weight").alias("n"))
         mean = links.join(size.select(F.col("org").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("org").alias("b"), F.col("n").alias("nb")), "b")
-        best = mean.groupBy("a").agg(F.max(F.struct((F.col("s") / (F.col("na") * F.col("nb"))).alias("mean"), (-F.col("b").cast("decimal(20,0)")).alias("tie"))).alias("m"))
-        best = stage.put("best", best.select("a", (-F.col("m.tie")).cast("long").alias("b"), F.col("m.mean").alias("mean")).filter(F.col("mean") >= least))
+        # repulsion only lowers a mean, so it is counted where the edges alone reach the least
+        mean = mean.withColumn("pairs", F.col("na") * F.col("nb")).filter(F.col("s") / F.col("pairs") >= least).select("a", "b", "s", "pairs")
+        if repel:
+            mean = stage.put("mean", mean)
+            held = member.groupBy("org", "given", "line").agg(F.sum("weight").alias("n"))
+            against = (
+                mean.select("a", "b").join(held.alias("g"), F.expr("a = g.org")).join(held.alias("h"), F.expr("b = h.org")).filter(f"not {_agree('g', 'h')}")
+                .groupBy("a", "b").agg(F.sum(F.expr("g.n * h.n")).alias("against"))
+            )
+            mean = mean.join(against, ["a", "b"], "left").withColumn("s", F.col("s") - repel * F.coalesce("against", F.lit(0.0)))
+        mean = mean.select("a", "b", (F.col("s") / F.col("pairs")).alias("mean")).filter(F.col("mean") >= least)
+        both = mean.unionByName(mean.select(F.col("b").alias("a"), F.col("a").alias("b"), "mean"))
+        best = both.groupBy("a").agg(F.max(F.struct("mean", (-F.col("a").bitwiseXOR(F.col("b")).bitwiseAND(F.lit(_LOW_BITS))).alias("tie"), "b")).alias("m"))
+        best = stage.put("best", best.select("a", "m.b"))
         merge = best.alias("x").join(best.alias("y"), F.expr("x.a = y.b and x.b = y.a and x.a > x.b")).select(F.col("x.a").alias("old"), F.col("x.b").alias("new"))
         merge = stage.put("merge", merge)
         if merge.isEmpty():
             return member.select("sid", "org")
-        member = stage.put("member", member.join(merge.withColumnRenamed("old", "org"), "org", "left").select("sid", F.coalesce("new", "org").alias("org"), "weight"))
+        member = stage.put("member", member.join(merge.withColumnRenamed("old", "org"), "org", "left").select("sid", F.coalesce("new", "org").alias("org"), "weight", *named))
         moved = links.join(merge.select(F.col("old").alias("a"), F.col("new").alias("ma")), "a", "left").join(merge.select(F.col("old").alias("b"), F.col("new").alias("mb")), "b", "left")
-        links = stage.put("links", moved.select(F.coalesce("ma", "a").alias("a"), F.coalesce("mb", "b").alias("b"), "s").filter("a <> b").groupBy("a", "b").agg(F.sum("s").alias("s")))
+        moved = moved.select(F.coalesce("ma", "a").alias("a"), F.coalesce("mb", "b").alias("b"), "s").filter("a <> b")
+        links = stage.put("links", moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("s").alias("s")))
     raise RuntimeError(f"linkage is not complete after {max_rounds} rounds")
 
 
@@ -301,9 +363,9 @@ def organisations(named: DataFrame, addresses: DataFrame, stage: Stage, keep_par
     clusters = small
     large = sized.filter(F.col("n") > IN_ONE_TASK)
     if not large.isEmpty():
-        members = component.join(large, "component", "left_semi")
-        inside = edges.join(members.select(F.col("sid").alias("a")), "a", "left_semi").select("a", "b", F.col("cosine").alias("s"))
-        clusters = small.unionByName(linkage_rounds(members.select("sid"), inside, stage))
+        members = stage.put("members", words.filter(F.col("n") > IN_ONE_TASK).drop("n"))
+        alike = stage.put("alike", alike_in_components(members))
+        clusters = small.unionByName(linkage_rounds(members, alike, stage, round(LINKAGE / UNIT), repel=round(1 / UNIT)))
     clusters = stage.put("clusters", clusters)
     kept = ["sid", "folded", "given", "line"] if keep_parts else []
     return parts.join(clusters, "sid", "left").select("name", F.coalesce("org", "sid").alias("org"), *kept)

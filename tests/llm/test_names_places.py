@@ -77,6 +77,33 @@ def test_linkage_rounds_equal_one_task(spark):
     assert {frozenset(g) for g in groups.values()} == brute_linkage(sim, 0.45)
 
 
+def test_large_components_equal_one_task(spark, monkeypatch):
+    """One organisation a line, slips, initials and names without a line: the distributed way gives what one task gives."""
+    ship(spark)
+    rng = random.Random(5)
+    lines, heads = ["Bakery", "Plumbing", "Dental Clinic", "", ""], ["", "", "Katherine ", "Robert ", "R. "]
+    texts = {f"Gorfuwelbran {line}".strip() for line in lines}
+    for _ in range(150):
+        brand = list(rng.choice(["Gorfuwelbran", "Gorfuwelpran", "Hupristrorel"]))
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            at = rng.randrange(1, len(brand) - 1)
+            brand[at : at + 2] = rng.choice([brand[at : at + 2][::-1], brand[at : at + 1], [brand[at], *brand[at : at + 2]]])
+        texts.add(f"{rng.choice(heads)}{''.join(brand)} {rng.choice(lines)}".strip())
+    named = spark.createDataFrame([(t,) for t in sorted(texts)], "name string")
+    places = spark.createDataFrame([], "addr string")
+
+    def groups():
+        out = {}
+        for r in variants.organisations(named, places, Stage(spark, "t")).collect():
+            out.setdefault(r.org, set()).add(r.name)
+        return {frozenset(g) for g in out.values()}
+
+    one_task = groups()
+    assert 5 < len(one_task) < len(texts)
+    monkeypatch.setattr(variants, "IN_ONE_TASK", 2)
+    assert groups() == one_task
+
+
 ROWS = [
     ("S1-1", "Mordra Brunbrel Brewery Ltd", "12 Gorfuwel Court, Suite 4, Lorliville, WB 32218", "S2-1", "Mordra Brunbrel, Brewery", "Suite 4, 0012 Gorfuwel Ct, Lorliville, WB 32218", 1.0, 1),
     ("S1-1", None, None, "S2-2", "Mordra Burnbrel Brewery", "12 Gorfuwel Crt., near Old Mill, Lorliville", 1.0, 1),
