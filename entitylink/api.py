@@ -63,10 +63,9 @@ def tune(rows: DataFrame, grid: list[dict], entities: DataFrame, truth: DataFram
     best = ({}, -1.0)
     for params in grid:
         model = scoring.train(rows.join(valid, "s1_id", "left_anti"), params)
-        swept = metrics.sweep(valid, truth.join(valid, "s1_id", "left_semi"), scoring.score(model, rows.join(valid, "s1_id", "left_semi")), metrics.threshold_table(rows.sparkSession, 300, 950, 50))
-        value = metrics.best_threshold(swept).first()["macro_f05"]
-        if value is not None and value > best[1]:
-            best = (params, value)
+        found = metrics.refined_threshold(valid, truth.join(valid, "s1_id", "left_semi"), scoring.score(model, rows.join(valid, "s1_id", "left_semi"))).first()
+        if found is not None and found["macro_f05"] > best[1]:
+            best = (params, found["macro_f05"])
     return best
 
 

@@ -575,6 +575,30 @@ def best_threshold(spark, d):
 _SQL["best_threshold"] = f"select * from ({_SQL['threshold_sweep']}) order by macro_f05 desc, threshold limit 1"
 
 
+@query()
+def best_threshold_refined(spark, d):
+    """The winner of the coarse sweep and two finer ones around it."""
+    w = World(spark, d)
+    return _rounded(metrics.refined_threshold(w.entities, w.truth, w.probs))
+
+
+def _phase_sql(k: int, thresholds: str) -> str:
+    first = f"select {k} phase, * from m{k}"
+    return f"""th{k} as ({thresholds}),
+pn{k} as (select t.t, p.s1_id, count(*) n, count(g.cid) tp from th{k} t join probs p on p.prob >= t.t / 1000 left join gt g on g.s1_id = p.s1_id and g.cid = p.cid group by 1, 2),
+m{k} as (select t, {sql.METRICS} from (select t.t, coalesce(tn.n, 0) truth, coalesce(pn.n, 0) pred, coalesce(pn.tp, 0) tp from th{k} t cross join ents e left join tn on tn.s1_id = e.s1_id left join pn{k} pn on pn.s1_id = e.s1_id and pn.t = t.t) group by t),
+w{k} as (select * from ({first if k == 1 else f"select * from w{k - 1} union all {first}"}) order by round(macro_f05, 12) desc, phase, {"(round(macro_f05, 12) = 0 and t <> 500), " if k == 1 else ""}t limit 1)"""
+
+
+_SQL["best_threshold_refined"] = _after(
+    ["ents", "gt", "probs"], "tn as (select s1_id, count(*) n from gt group by 1),\n" + ",\n".join([
+        _phase_sql(1, "select unnest(range(300, 951, 50)) t"), _phase_sql(2, "select unnest(range(greatest(100, t - 100), least(990, t + 100) + 1, 5)) t from w1"),
+        _phase_sql(3, "select unnest(range(greatest(50, t - 20), least(990, t + 20) + 1, 1)) t from w2"),
+    ]),
+    "select t / 1000 threshold, round(macro_f05, 6) macro_f05, round(macro_precision, 6) macro_precision, round(macro_recall, 6) macro_recall, round(singleton_accuracy, 6) singleton_accuracy, entities from w3",
+)
+
+
 # ---- K: validation
 
 _RESULT = ("source1_entity_id", "matched_entity_ids")

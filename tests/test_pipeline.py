@@ -94,6 +94,21 @@ def test_assembly_and_metrics(spark, sides):
     assert metrics.full_metrics(counts.limit(0)).first().entities == 0
 
 
+def test_refined_threshold_lies_between_coarse_steps(spark):
+    """Right pairs at 0.573, wrong ones at 0.545, 0.566 and 0.5725: each sweep comes nearer, only the third tells all apart."""
+    ed = spark.createDataFrame([(f"S1-{i}",) for i in range(8)], "s1_id string")
+    td = spark.createDataFrame([(f"S1-{i}", f"S2-{i}") for i in range(5)], "s1_id string, cid string")
+    sd = spark.createDataFrame([(f"S1-{i}", f"S2-{i}", 0.573) for i in range(5)] + [("S1-5", "S2-9", 0.5725), ("S1-6", "S2-9", 0.566), ("S1-7", "S2-9", 0.545)], "s1_id string, cid string, prob double")
+    coarse = metrics.best_threshold(metrics.sweep(ed, td, sd, metrics.threshold_table(spark, 300, 950, 50))).first()
+    assert coarse.threshold == 0.55 and coarse.macro_f05 < 1
+    got = metrics.refined_threshold(ed, td, sd).first()
+    assert (got.threshold, got.macro_f05) == (0.573, 1.0)
+    # nothing is gained by going finer: the first winner stays
+    assert metrics.refined_threshold(ed, td, sd.filter("prob = 0.573")).first().threshold == 0.3
+    assert metrics.refined_threshold(ed.limit(1), td, sd.limit(0)).first().threshold == 0.5
+    assert metrics.refined_threshold(ed.limit(0), td, sd).count() == 0
+
+
 def test_sweep_equals_single_evaluations(spark):
     rng = random.Random(9)
     e = [f"e{i}" for i in range(25)]
