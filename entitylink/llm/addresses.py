@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,7 +61,6 @@ def _plain(text: str) -> str:
     return "".join(ch for ch in apart if unicodedata.category(ch) != "Mn") if not apart.isascii() else apart
 
 
-@lru_cache(maxsize=1 << 16)
 def parse_address(text: str | None) -> tuple[str, ...] | None:
     """The components in the order of FIELDS, each a string, empty where missing. None for a text that is no real address
     (null, blank, a filler, or without any house number)."""

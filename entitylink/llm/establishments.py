@@ -39,7 +39,7 @@ def described(live: DataFrame, stage: Stage) -> DataFrame:
     """``id, sid, org, folded, given, line, bare, place`` and the address components of every record with a name."""
     recs = stage.put("records", records(live))
     named = recs.filter(F.col("name").isNotNull())
-    orgs = stage.put("orgs", organisations(named.select("id", "name"), recs, stage, keep_parts=True))
+    orgs = stage.put("orgs", organisations(recs.select("name", "addr"), stage, keep_parts=True))
     places = locations(recs.filter(F.col("addr").isNotNull()).select("addr"), stage)
     full = named.join(orgs, "name").join(places, "addr", "left")
     return stage.put("described", full.select("id", "sid", "org", "folded", "given", "line", F.col("place").isNull().alias("bare"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("place", *FIELDS)]))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -31,7 +30,6 @@ _BLANKS = regex.compile(r"[\s\p{Z}]+")
 _PLAIN = regex.compile(r"[!-~]+(?: [!-~]+)*")
 
 
-@lru_cache(maxsize=1 << 16)
 def visible_form(text: str) -> str:
     """The form shared by all texts that look like this one: compatibility decomposition, invisible characters removed,
     look-alikes to Latin, composition, runs of any blanks to one space, none outside. Case, accents and punctuation stay.

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 
 from .lookalike import visible_form
 
@@ -167,7 +166,6 @@ def _whole_line(words: tuple[str, ...]) -> tuple[str, ...]:
     return longer[0] if len(longer) == 1 else words
 
 
-@lru_cache(maxsize=1 << 16)
 def parse_name(text: str, towns: frozenset[str] = frozenset()) -> tuple[str, str, str, str]:
     """``brand, given, line, folded``. ``given`` may be several names joined by "/", or a single letter; ``folded`` is the
     brand with letters that a digit may stand for made one (i, l). Empty strings where a part is missing."""

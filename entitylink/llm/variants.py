@@ -1,43 +1,48 @@
-"""Variant spellings of names: n-gram vectors, cosine similarity join, average-linkage clusters.
-
-1. Each distinct stored name is parsed (names.py); names with the same brand, given name and line are one *spelling*.
-2. Spellings become vectors of character n-grams of the brand, weighted by inverse document frequency over all spellings.
-3. A prefix-filtered join finds all pairs of spellings of one line, or of a line and none, whose cosine can reach the threshold: of
-   each vector only the rarest n-grams are indexed, as many as a pair needs to share. Nothing is capped; the join is exact for the threshold.
-4. A pair is kept if typing slips explain the difference and line and given name agree.
-5. Connected spellings are grouped by average linkage, in which spellings of different lines or given names repel.
+"""Variant spellings of names: n-gram vectors, top-n cosine similarity join, average-linkage clusters.
+
+1. Each distinct stored name is parsed (names.py); names with the same brand, given name and line are one *spelling*, one vector.
+2. Spellings become vectors of the character trigrams of the brand, weighted by a smoothed inverse document frequency.
+3. A join on pairs of neighbouring trigrams finds the spellings of one line, or of a line and none, whose cosine reaches COSINE; an
+   exact check follows: typing slips must explain the difference, and line and given name must agree.
+4. The TOP_N nearest of every spelling connect it; what lies beyond is compared only where it would connect further components.
+5. Connected spellings are grouped by average linkage on the thresholded cosines (0 below the threshold), in which spellings of
+   different lines or given names repel. Small components are linked in one task each, large ones in distributed rounds, on the
+   same whole numbers, so that both give the same clusters.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import hash_to_min
 from .lookalike import expand_variants
-from .names import parse_name
+from .names import parse_name, plain
 from .shared import Stage, records
 
-#: Words in more than this share of the addresses are taken for place words; at most (words an address) / share words can be.
-TOWN_SHARE = 0.001
-GRAM = 4
-#: Share of the spellings added to each document frequency: an n-gram that a slip made is rare without telling much.
-SMOOTHING = 1e-4
-COSINE = 0.28
+#: A word of names is a place note if it stands in the own address of at least this share of the records with it.
+TOWN_SHARE = 0.5
+GRAM = 3
+#: Share of the spellings added to each document frequency, and spellings added to their number: trigrams that a slip made, or that only a small
+#: table makes look common, weigh nearly as the others.
+SMOOTHING, PRIOR = 1e-2, 10_000
+COSINE = 0.45
 #: Typing slips that two spellings may differ by: half of it each from the common form.
 SLIPS = 2.0
-LINKAGE = 0.45
-#: Likenesses are whole multiples of this: sums of them are exact in any order, so equal means are equal numbers.
-UNIT = 0.05
-#: Components of at most so many spellings are clustered in one task; larger ones by distributed rounds, with the same result.
-IN_ONE_TASK = 1500
-#: Tasks that the spellings of one component, line and length are compared in, if the component is larger than that.
-SPREAD = 8
+TOP_N = 8
+LINKAGE = 0.25
+#: Cosines are counted in whole thousandths: sums of them are exact in any order, so equal means are equal numbers.
+UNIT = 1000
+#: Components of at most so many spellings are linked in one task; larger ones by distributed rounds, with the same result.
+IN_ONE_TASK = 400
+#: Spellings of one key from which the key's left side is split over several tasks.
+HOT_KEY = 2000
 
 # Fixed value: rows of a keyboard, for slips to a neighbouring key.
 _ROWS = ["qwertyuiop", "asdfghjkl", "zxcvbnm"]
@@ -117,110 +122,133 @@ def allowed_slips(a: str, b: str) -> float:
 _PARTS = T.StructType([T.StructField(f, T.StringType()) for f in ("brand", "given", "line", "folded")])
 
 
-def town_words(addresses: DataFrame) -> frozenset[str]:
-    """Words that occur in at least TOWN_SHARE of the distinct addresses, a bounded list."""
-    a = addresses.select("addr").filter(F.col("addr").isNotNull()).distinct()
-    words = a.select(F.explode(F.array_distinct(F.split(F.lower("addr"), r"[^\p{L}]+"))).alias("w")).filter(F.length("w") > 2).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    total = a.agg((F.count(F.lit(1)) * TOWN_SHARE).alias("least"))
-    return frozenset(r[0] for r in words.crossJoin(F.broadcast(total)).filter("n >= least and n > 1").select("w").collect())
+def _words(c: str) -> Column:
+    return F.split(F.lower(c), r"[^\p{L}\p{M}]+")
 
 
-def spellings(names: DataFrame, towns: frozenset[str]) -> DataFrame:
-    """``name, brand, given, line, folded, sid``: the distinct names with their parts; ``sid`` identifies the spelling.
-    Names without any letter or digit are left out."""
-    shared = names.sparkSession.sparkContext.broadcast(towns)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _plain_words(texts: pd.Series) -> pd.Series:
+    """The words of each text but its first one, without accents and look-alikes."""
+    return pd.Series([sorted({w for w in re.findall(r"[^\W\d_]+", plain(t))[1:] if len(w) > 2}) for t in texts])
+
+
+def town_words(recs: DataFrame) -> DataFrame:
+    """``w``: words that names carry as a note of the place: where a name has such a word, not as its first, the record's own address
+    mostly has it too. This holds for tables of any size."""
+    both = recs.filter("name is not null and addr is not null").select("name", "addr").distinct()
+    words = both.select(F.explode(F.array_distinct(F.slice(_words("name"), 2, 1 << 20))).alias("w"), _words("addr").alias("aw")).filter(F.length("w") > 2)
+    seen = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("aw", F.col("w"))).alias("own"))
+    return seen.filter((F.col("own") > 0) & (F.col("own") >= TOWN_SHARE * F.col("n"))).select("w")
+
+
+@F.pandas_udf(_PARTS)
+def _parts(texts: pd.Series, towns: pd.Series) -> pd.DataFrame:
+    none = frozenset()
+    return pd.DataFrame([parse_name(t, none if k is None else frozenset(k)) for t, k in zip(texts, towns)], columns=["brand", "given", "line", "folded"])
 
-    @F.pandas_udf(_PARTS)
-    def parts(texts: pd.Series) -> pd.DataFrame:
-        known = shared.value
-        return pd.DataFrame([parse_name(t, known) for t in texts], columns=["brand", "given", "line", "folded"])
 
+def spellings(recs: DataFrame) -> DataFrame:
+    """``name, brand, given, line, folded, sid``: the distinct names with their parts; ``sid`` identifies the spelling.
+    Names without any letter or digit are left out."""
+    names = recs.select("name").filter(F.col("name").isNotNull()).distinct()
+    towns = town_words(recs).select(F.explode(_plain_words(F.concat(F.lit("x "), "w"))).alias("w")).distinct()
+    noted = names.select("name", F.explode(_plain_words("name")).alias("w")).join(towns, "w").groupBy("name").agg(F.collect_set("w").alias("towns"))
     return (
-        names.select("name").filter(F.col("name").isNotNull()).distinct().withColumn("p", parts(F.col("name"))).select("name", "p.*")
+        names.join(noted, "name", "left").withColumn("p", _parts("name", "towns")).select("name", "p.*")
         .filter("folded <> ''").withColumn("sid", F.xxhash64("folded", "given", "line"))
     )
 
 
-def _grams(column: str, n: int) -> F.Column:
+def _grams(column: str, n: int) -> Column:
     return F.expr(f"array_distinct(transform(sequence(1, greatest(length({column}) - {n - 1}, 1)), i -> substring({column}, i, {n})))")
 
 
-def vectors(words: DataFrame, n: int = GRAM, cosine: float = COSINE) -> DataFrame:
-    """``sid, grams``: the weighted n-grams of each padded brand that a pair must share at least one of to reach the cosine.
+def vectors(words: DataFrame) -> DataFrame:
+    """``sid, vec, norm``: the weighted trigrams of each padded brand, a whole number each, and the squared length of the vector.
 
-    Weights are ln(1 + N / (df + SMOOTHING N)). Grams are ordered from the heaviest; the prefix ends where the rest of the vector alone can no
-    longer reach ``cosine`` with any other vector.
+    A trigram's squared weight is the square of ln(1 + N / (df + SMOOTHING N)), in tenths; it fills the lowest 8 bits, a hash of the
+    trigram those above. So the dot product of two vectors is the sum of the lowest bits of what they share.
     """
-    g = words.select("sid", F.explode(_grams("padded", n)).alias("gram"))
-    df = g.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    total = words.agg(F.count(F.lit(1)).alias("total"))
-    weighed = g.join(df.crossJoin(F.broadcast(total)).select("gram", F.log1p(F.col("total") / (F.col("df") + SMOOTHING * F.col("total"))).alias("w")), "gram")
-    v = weighed.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("w", "gram")), asc=False).alias("v"))
-    # squared weight up to and with each gram, then the grams before which more than 1 - cosine^2 is not yet covered
-    return v.select(
-        "sid",
-        F.expr("transform(v, x -> x.gram)").alias("all_grams"),
-        F.expr("transform(v, x -> x.w)").alias("weights"),
-        F.expr(
-            f"""aggregate(v, named_struct('s', 0D, 'g', cast(array() as array<string>)),
-                (acc, x) -> named_struct('s', acc.s + x.w * x.w,
-                    'g', if(acc.s <= {1 - cosine * cosine} * aggregate(v, 0D, (t, y) -> t + y.w * y.w), concat(acc.g, array(x.gram)), acc.g)),
-                acc -> acc.g)"""
-        ).alias("grams"),
-    )
+    g = words.select("sid", F.explode(_grams("padded", GRAM)).alias("gram"))
+    total = words.agg((F.count(F.lit(1)) + PRIOR).alias("total"))
+    w = F.log1p(F.col("total") / (F.col("df") + SMOOTHING * F.col("total")))
+    code = F.shiftleft(F.xxhash64("gram"), 8).bitwiseOR(F.least(F.lit(255), F.round(10 * w * w)).cast("long"))
+    codes = g.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(total)).select("gram", code.alias("code"))
+    return g.join(codes, "gram").groupBy("sid").agg(F.collect_list("code").alias("vec"), F.sum(F.col("code").bitwiseAND(F.lit(255))).alias("norm"))
+
+
+def _agree(a: str, b: str) -> str:
+    """SQL of ``lines_agree`` and ``givens_agree`` between two aliases."""
+    g, h = f"split({a}.given, '/')", f"split({b}.given, '/')"
+    initial = f"exists({g}, g -> exists({h}, h -> startswith(g, h) or startswith(h, g)))"
+    lines = f"({a}.line = {b}.line or {a}.line = '' or {b}.line = '' or startswith({a}.line, concat({b}.line, ' ')) or startswith({b}.line, concat({a}.line, ' ')))"
+    givens = f"({a}.given = {b}.given or {a}.given <> '' and {b}.given <> '' and if(length({a}.given) = 1 or length({b}.given) = 1, {initial}, arrays_overlap({g}, {h})))"
+    return f"({lines} and {givens})"
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], test: str) -> DataFrame:
+    """``a, b``: rows of both sides with equal keys that pass the test. Keys of more than HOT_KEY left rows are split: the left rows over
+    parts of about that size, the right rows to each of them, so no key is the work of one task."""
+    hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > HOT_KEY).select(*keys, F.ceil(F.col("rows") / HOT_KEY).alias("parts"))
+    split = lambda df, part: df.join(hot, keys, "left").withColumn("part", part).drop("parts")
+    a = split(left, F.pmod("sid", F.coalesce("parts", F.lit(1))))
+    b = split(right, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)))
+    on = " and ".join(f"a.{k} = b.{k}" for k in [*keys, "part"])
+    return a.alias("a").join(b.alias("b"), F.expr(on)).filter(test).select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"))
 
 
 def similar_spellings(parts: DataFrame, stage: Stage) -> DataFrame:
-    """``a, b, cosine``: pairs of spellings with a cosine of at least COSINE which typing slips explain, of agreeing line and given name."""
-    words = stage.put("words", parts.dropDuplicates(["sid"]).select("sid", "folded", "given", "line", F.concat(F.lit("^"), "folded", F.lit("$")).alias("padded"), F.split("line", " ")[0].alias("block")))
-    vecs = stage.put("vectors", vectors(words))
-    brief = words.select("sid", "folded", "block", F.substring("given", 1, 1).alias("g1"), F.length("folded").alias("n"))
-    near = "levenshtein(a.folded, b.folded, 4) >= 0"
-    posting = vecs.select("sid", F.explode("grams").alias("gram")).join(brief, "sid")
+    """``a, b, s``: pairs of spellings with a cosine of at least COSINE (``s``, in thousandths) which typing slips explain, of agreeing
+    line and given name.
+
+    Keys are runs of two neighbouring trigrams. Two slips leave at most three runs of shared trigrams, and with near-equal weights a pair that
+    reaches the cosine shares more trigrams than that; so it shares a key. The length, edit distance and given-name tests inside the join are implied by the exact check.
+    """
+    words = parts.dropDuplicates(["sid"]).select("sid", "folded", "given", "line", F.concat(F.lit("^"), "folded", F.lit("$")).alias("padded"), F.split("line", " ")[0].alias("block"))
+    words = stage.put("words", words)
+    full = stage.put("vectors", words.select("sid", "folded", "given", "line").join(vectors(words), "sid"))
     # nicknames begin with other letters than the name, so given names are compared only by being there
-    has = "(a.g1 = '') = (b.g1 = '')"
-    one_line = (
-        posting.alias("a").join(posting.alias("b"), F.expr("a.block = b.block and a.gram = b.gram and a.sid < b.sid"))
-        .filter(f"abs(a.n - b.n) <= 2 and {has} and {near}").select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b"))
-    )
-    # spellings without a line meet those of any line on the same grams; the length in the key, which a pair may differ by 2 in, splits frequent grams
+    posting = words.select("sid", "folded", "block", (F.col("given") != "").alias("has"), F.length("folded").alias("n"), F.explode(_grams("padded", GRAM + 1)).alias("gram"))
+    near = "abs(a.n - b.n) <= 2 and levenshtein(a.folded, b.folded, 4) >= 0"
+    one_line = _meet(posting, posting, ["block", "has", "gram"], f"a.sid < b.sid and {near}")
+    # spellings without a line meet those of any line on the same keys; the length in the key, which a pair may differ by 2 in, splits frequent ones
     lined = posting.filter("block <> ''").withColumn("m", F.col("n"))
     bare = posting.filter("block = ''").withColumn("m", F.explode(F.expr("sequence(n - 2, n + 2)")))
-    no_line = (
-        bare.alias("a").join(lined.alias("b"), F.expr(f"a.gram = b.gram and a.m = b.m and {has}")).filter(near)
-        .select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"))
-    )
+    no_line = _meet(lined, bare, ["has", "gram", "m"], near)
     pairs = one_line.unionByName(no_line).distinct()
-    full = words.select("sid", "folded", "given", "line").join(vecs.select("sid", "all_grams", "weights"), "sid")
-    side = lambda s: full.select(F.col("sid").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("folded", "given", "line", "all_grams", "weights")])
-
-    @F.pandas_udf("double")
-    def link(fa: pd.Series, fb: pd.Series, ga: pd.Series, gb: pd.Series, la: pd.Series, lb: pd.Series, xa: pd.Series, xb: pd.Series, wa: pd.Series, wb: pd.Series) -> pd.Series:
-        out = []
-        for a, b, g, h, m, k, x, y, v, w in zip(fa, fb, ga, gb, la, lb, xa, xb, wa, wb):
-            ok = lines_agree(m, k) and givens_agree(g, h) and slips(a, b, SLIPS) <= allowed_slips(a, b)
-            if not ok:
-                out.append(0.0)
-                continue
-            left = dict(zip(x, v))
-            dot = sum(left.get(gram, 0.0) * weight for gram, weight in zip(y, w))
-            out.append(float(dot / math.sqrt(np.dot(v, v) * np.dot(w, w))))
-        return pd.Series(out)
-
-    return (
-        pairs.join(side("a"), "a").join(side("b"), "b")
-        .select("a", "b", link("folded_a", "folded_b", "given_a", "given_b", "line_a", "line_b", "all_grams_a", "all_grams_b", "weights_a", "weights_b").alias("cosine"))
-        .filter(F.col("cosine") >= COSINE)
+    dot = "aggregate(array_intersect(a.vec, b.vec), 0L, (t, x) -> t + (x & 255))"
+    close = (
+        pairs.alias("p").join(full.alias("a"), F.expr("p.a = a.sid")).join(full.alias("b"), F.expr("p.b = b.sid")).filter(_agree("a", "b"))
+        .select("p.a", "p.b", F.col("a.folded").alias("x"), F.col("b.folded").alias("y"), F.expr(f"cast(round({UNIT} * {dot} / sqrt(a.norm * b.norm)) as int)").alias("s"))
+        .filter(F.col("s") >= round(COSINE * UNIT))
     )
 
+    @F.pandas_udf("boolean")
+    def slipped(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([slips(a, b, SLIPS) <= allowed_slips(a, b) for a, b in zip(x, y)], dtype=bool)
+
+    return close.filter(slipped("x", "y")).select("a", "b", "s")
+
 
-def likeness(a: tuple[str, str, str], b: tuple[str, str, str]) -> float:
-    """Similarity for the linkage, of (folded brand, given, line): 1 less 0.15 for each slip, 0 for different brands, -1 for a
-    different line or given name."""
-    if not lines_agree(a[2], b[2]) or not givens_agree(a[1], b[1]):
-        return -1.0
-    s = slips(a[0], b[0], 4.0)
-    return 0.0 if s == math.inf else 1.0 - 0.15 * s
+def nearest(edges: DataFrame, n: int) -> DataFrame:
+    """The edges that are among the ``n`` of highest cosine of either end; ties by the other end's id."""
+    ends = edges.select("a", "b", "s", F.explode(F.array(F.struct(F.col("a").alias("me"), F.col("b").alias("other")), F.struct(F.col("b").alias("me"), F.col("a").alias("other")))).alias("e"))
+    top = ends.withColumn("turn", F.row_number().over(Window.partitionBy("e.me").orderBy(F.desc("s"), F.asc("e.other")))).filter(F.col("turn") <= n)
+    return top.select("a", "b").distinct()
+
+
+def connected(edges: DataFrame, stage: Stage, n: int) -> DataFrame:
+    """``sid, component`` of all ends: components of the nearest edges first, then of the others as far as they lie between two of these.
+    The result does not depend on ``n``."""
+    near = stage.put("near", nearest(edges, n))
+    ends = edges.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    first = stage.put("first", hash_to_min(near, ends, stage).select(F.col("vertex").alias("sid"), F.col("group").alias("component")))
+    rest = edges.select("a", "b").join(near, ["a", "b"], "left_anti").join(first.select(F.col("sid").alias("a"), F.col("component").alias("ca")), "a").join(first.select(F.col("sid").alias("b"), F.col("component").alias("cb")), "b")
+    rest = stage.put("rest", rest.filter("ca <> cb").select("ca", "cb").distinct())
+    if rest.isEmpty():
+        return first
+    joined = stage.put("joined", hash_to_min(rest, first.select("component"), stage, "ca", "cb", "component").select(F.col("vertex").alias("component"), F.col("group").alias("whole")))
+    return first.join(joined, "component").select("sid", F.col("whole").alias("component"))
 
 
 def average_linkage(sim: np.ndarray, least: float = LINKAGE, keys: np.ndarray | None = None) -> np.ndarray:
@@ -229,11 +257,10 @@ def average_linkage(sim: np.ndarray, least: float = LINKAGE, keys: np.ndarray |
     n = len(sim)
     label, size = np.arange(n), np.ones(n)
     total = sim.astype(float).copy()
-    np.fill_diagonal(total, -np.inf)
+    upper = np.triu(np.ones((n, n), dtype=bool), 1)
     alive = np.ones(n, dtype=bool)
     while alive.sum() > 1:
-        mean = total / np.outer(size, size)
-        mean = np.where(np.triu(np.ones_like(mean, dtype=bool), 1) & np.outer(alive, alive), mean, -np.inf)
+        mean = np.where(upper & alive[:, None] & alive[None, :], total / np.outer(size, size), -np.inf)
         at = int(np.argmax(mean))
         if keys is not None:
             ties = np.flatnonzero(mean == mean.flat[at])
@@ -243,71 +270,42 @@ def average_linkage(sim: np.ndarray, least: float = LINKAGE, keys: np.ndarray |
             break
         total[i, :] += total[j, :]
         total[:, i] += total[:, j]
-        total[i, i] = -np.inf
         size[i] += size[j]
         alive[j] = False
         label[label == j] = i
     return label
 
 
-def _cluster(rows: list[tuple[str, str, str]], keys: list[int]) -> np.ndarray:
-    """Cluster number of each row; the keys ascend."""
-    n = len(rows)
-    if n == 2:
-        return np.array([0, 0 if likeness(*rows) >= LINKAGE else 1])
-    sim = np.zeros((n, n))
-    for i in range(n):
-        for j in range(i + 1, n):
-            sim[i, j] = sim[j, i] = round(likeness(rows[i], rows[j]) / UNIT)
-    return average_linkage(sim, round(LINKAGE / UNIT), np.array(keys, dtype=np.int64))
+def link_component(sids: list[int], givens: list[str], lines: list[str], edges) -> list[int]:
+    """The cluster of each spelling of one component, named by its first spelling; the ids ascend."""
+    if len(sids) == 2:
+        return [sids[0], sids[0]]  # the one edge is above the threshold
+    at = {sid: i for i, sid in enumerate(sids)}
+    n = len(sids)
+    kinds = sorted(set(zip(givens, lines)))
+    apart = np.array([[not (lines_agree(m, k) and givens_agree(g, h)) for h, k in kinds] for g, m in kinds])
+    kind = np.array([kinds.index(x) for x in zip(givens, lines)])
+    sim = np.where(apart[kind[:, None], kind[None, :]], -float(UNIT), 0.0)
+    for e in edges:
+        i, j = at[e["a"]], at[e["b"]]
+        sim[i, j] = sim[j, i] = e["s"]
+    return [sids[k] for k in average_linkage(sim, LINKAGE * UNIT, np.array(sids, dtype=np.int64))]
 
 
-def linkage_in_tasks(words: DataFrame) -> DataFrame:
+def linkage_in_tasks(words: DataFrame, edges: DataFrame) -> DataFrame:
     """``sid, org`` of components that are small enough for one task: one array a component, many components an Arrow batch."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
-    def orgs(members: pd.Series) -> pd.Series:
-        out = []
-        for group in members:
-            label = _cluster([(m["folded"], m["given"], m["line"]) for m in group], [m["sid"] for m in group])
-            out.append([group[int(k)]["sid"] for k in label])
-        return pd.Series(out)
+    def orgs(members: pd.Series, links: pd.Series) -> pd.Series:
+        return pd.Series([link_component([m["sid"] for m in group], [m["given"] for m in group], [m["line"] for m in group], pairs) for group, pairs in zip(members, links)])
 
     spark = words.sparkSession
     # a fixed number of partitions: few bytes are much work here, which merging partitions by bytes would put into a few tasks
-    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = words.repartition(tasks, "component").groupBy("component").agg(F.sort_array(F.collect_list(F.struct("sid", "folded", "given", "line"))).alias("members"))
-    return packed.select("members", orgs("members").alias("orgs")).select(F.explode(F.arrays_zip("members.sid", "orgs")).alias("m")).select("m.sid", F.col("m.orgs").alias("org"))
-
-
-def _agree(a: str, b: str) -> str:
-    """SQL of ``lines_agree`` and ``givens_agree`` between two aliases."""
-    g, h = f"split({a}.given, '/')", f"split({b}.given, '/')"
-    initial = f"exists({g}, g -> exists({h}, h -> startswith(g, h) or startswith(h, g)))"
-    lines = f"({a}.line = {b}.line or {a}.line = '' or {b}.line = '' or startswith({a}.line, concat({b}.line, ' ')) or startswith({b}.line, concat({a}.line, ' ')))"
-    givens = f"({a}.given = {b}.given or {a}.given <> '' and {b}.given <> '' and if(length({a}.given) = 1 or length({b}.given) = 1, {initial}, arrays_overlap({g}, {h})))"
-    return f"({lines} and {givens})"
-
-
-def alike_in_components(words: DataFrame) -> DataFrame:
-    """``a, b, s``: all pairs of spellings of one component with a likeness above 0, in units of UNIT. Only what can't differ in
-    more than 4 slips' cost is left out before the slips are counted: 5 letters in length, 9 in the letters used or by edits."""
-    letters = "aggregate(split(folded, ''), 0L, (m, ch) -> if(ch = '', m, m | shiftleft(1L, pmod(ascii(ch), 64))))"
-    w = words.select("component", "sid", "folded", "given", "line", F.split("line", " ")[0].alias("block"), F.length("folded").alias("n"), F.expr(letters).alias("letters"))
-    # lengths within 4 lie in the same or a neighbouring four; each spelling of the right side goes to every part of the left
-    left = w.withColumns({"four": F.floor(F.col("n") / 4), "part": F.pmod("sid", F.lit(SPREAD))})
-    right = w.withColumn("four", F.explode(F.expr("transform(array(-1, 0, 1), i -> floor(n / 4) + i)"))).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
-    met = "a.component = b.component and a.four = b.four and a.part = b.part"
-    near = f"abs(a.n - b.n) <= 4 and bit_count(a.letters ^ b.letters) <= 8 and {_agree('a', 'b')} and levenshtein(a.folded, b.folded, 8) >= 0"
-    out = [F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"), F.col("a.folded").alias("x"), F.col("b.folded").alias("y")]
-    one_line = left.alias("a").join(right.alias("b"), F.expr(f"{met} and a.block = b.block")).filter(f"a.sid < b.sid and {near}").select(*out)
-    no_line = left.filter("block = ''").alias("a").join(right.filter("block <> ''").alias("b"), F.expr(met)).filter(near).select(*out)
-
-    @F.pandas_udf("double")
-    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([float(max(0, round(likeness((a, "", ""), (b, "", "")) / UNIT))) for a, b in zip(x, y)])
-
-    return one_line.unionByName(no_line).select("a", "b", alike("x", "y").alias("s")).filter("s > 0")
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed = words.groupBy("component").agg(F.sort_array(F.collect_list(F.struct("sid", "given", "line"))).alias("members"))
+    linked = edges.groupBy("component").agg(F.collect_list(F.struct("a", "b", "s")).alias("links"))
+    both = packed.join(linked, "component").repartition(tasks, "component")
+    return both.select("members", orgs("members", "links").alias("orgs")).select(F.explode(F.arrays_zip("members.sid", "orgs")).alias("m")).select("m.sid", F.col("m.orgs").alias("org"))
 
 
 def linkage_rounds(vertices: DataFrame, edges: DataFrame, stage: Stage, least: float = LINKAGE, max_rounds: int = 500, repel: float = 0.0) -> DataFrame:
@@ -350,22 +348,20 @@ def linkage_rounds(vertices: DataFrame, edges: DataFrame, stage: Stage, least: f
     raise RuntimeError(f"linkage is not complete after {max_rounds} rounds")
 
 
-def organisations(named: DataFrame, addresses: DataFrame, stage: Stage, keep_parts: bool = False) -> DataFrame:
-    """``name, org``: the organisation of each distinct name; names of one organisation share ``org``. With ``keep_parts`` also the
-    spelling ``sid`` and its parts."""
-    parts = stage.put("parts", spellings(named, town_words(addresses)))
+def organisations(recs: DataFrame, stage: Stage, keep_parts: bool = False) -> DataFrame:
+    """``name, org``: the organisation of each distinct name of ``recs`` (``name, addr``); names of one organisation share ``org``.
+    With ``keep_parts`` also the spelling ``sid`` and its parts."""
+    parts = stage.put("parts", spellings(recs))
     edges = stage.put("edges", similar_spellings(parts, stage))
-    linked = edges.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    component = stage.put("component", hash_to_min(edges.select("a", "b"), linked, stage).select(F.col("vertex").alias("sid"), F.col("group").alias("component")))
+    component = stage.put("component", connected(edges, stage, TOP_N))
     sized = component.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    words = parts.dropDuplicates(["sid"]).select("sid", "folded", "given", "line").join(component, "sid").join(sized, "component")
-    small = linkage_in_tasks(words.filter(F.col("n") <= IN_ONE_TASK))
-    clusters = small
-    large = sized.filter(F.col("n") > IN_ONE_TASK)
+    words = parts.dropDuplicates(["sid"]).select("sid", "given", "line").join(component, "sid").join(sized, "component")
+    words = stage.put("members", words)
+    of = edges.join(words.select(F.col("sid").alias("a"), "component", "n"), "a")
+    clusters = linkage_in_tasks(words.filter(F.col("n") <= IN_ONE_TASK), of.filter(F.col("n") <= IN_ONE_TASK))
+    large = words.filter(F.col("n") > IN_ONE_TASK)
     if not large.isEmpty():
-        members = stage.put("members", words.filter(F.col("n") > IN_ONE_TASK).drop("n"))
-        alike = stage.put("alike", alike_in_components(members))
-        clusters = small.unionByName(linkage_rounds(members, alike, stage, round(LINKAGE / UNIT), repel=round(1 / UNIT)))
+        clusters = clusters.unionByName(linkage_rounds(large, of.filter(F.col("n") > IN_ONE_TASK), stage, LINKAGE * UNIT, repel=UNIT))
     clusters = stage.put("clusters", clusters)
     kept = ["sid", "folded", "given", "line"] if keep_parts else []
     return parts.join(clusters, "sid", "left").select("name", F.coalesce("org", "sid").alias("org"), *kept)
@@ -375,6 +371,5 @@ def same_organisation(live: DataFrame, stage: Stage) -> DataFrame:
     """``id_a, id_b``: records with different stored names of one organisation. Null names, and names without any letter or
     digit, pair with nothing; an empty table gives an empty result."""
     recs = stage.put("records", records(live))
-    named = recs.filter(F.col("name").isNotNull()).select("id", "name")
-    orgs = stage.put("orgs", organisations(named, recs, stage))
-    return expand_variants(named.join(orgs, "name"), "org")
+    orgs = stage.put("orgs", organisations(recs.select("name", "addr"), stage))
+    return expand_variants(recs.filter(F.col("name").isNotNull()).select("id", "name").join(orgs, "name"), "org")

@@ -89,19 +89,67 @@ def test_large_components_equal_one_task(spark, monkeypatch):
             at = rng.randrange(1, len(brand) - 1)
             brand[at : at + 2] = rng.choice([brand[at : at + 2][::-1], brand[at : at + 1], [brand[at], *brand[at : at + 2]]])
         texts.add(f"{rng.choice(heads)}{''.join(brand)} {rng.choice(lines)}".strip())
-    named = spark.createDataFrame([(t,) for t in sorted(texts)], "name string")
-    places = spark.createDataFrame([], "addr string")
+    recs = spark.createDataFrame([(t, None) for t in sorted(texts)], "name string, addr string")
+    one_task = organisation_groups(spark, recs)
+    assert 5 < len(one_task) < len(texts)
+    for most in (1, 5):
+        monkeypatch.setattr(variants, "IN_ONE_TASK", most)
+        assert organisation_groups(spark, recs) == one_task
+    monkeypatch.setattr(variants, "IN_ONE_TASK", 1500)
+    monkeypatch.setattr(variants, "HOT_KEY", 3)
+    monkeypatch.setattr(variants, "TOP_N", 1)
+    assert organisation_groups(spark, recs) == one_task
 
-    def groups():
-        out = {}
-        for r in variants.organisations(named, places, Stage(spark, "t")).collect():
-            out.setdefault(r.org, set()).add(r.name)
-        return {frozenset(g) for g in out.values()}
 
-    one_task = groups()
-    assert 5 < len(one_task) < len(texts)
-    monkeypatch.setattr(variants, "IN_ONE_TASK", 2)
-    assert groups() == one_task
+def organisation_groups(spark, recs):
+    out = {}
+    for r in variants.organisations(recs, Stage(spark, "t")).collect():
+        out.setdefault(r.org, set()).add(r.name)
+    return {frozenset(g) for g in out.values()}
+
+
+def test_similar_spellings_against_all_pairs(spark):
+    """The keyed join finds every pair of a few hundred spellings that reaches the cosine and that slips explain."""
+    ship(spark)
+    rng = random.Random(11)
+    syllables = ["bor", "gun", "pre", "la", "kis", "vu", "dran", "tel", "mo", "fi"]
+    brands = ["".join(rng.choices(syllables, k=rng.choice([2, 3, 3, 4]))) for _ in range(60)]
+    rows = {("", "", "gorfuwelbran")}
+    for b in brands:
+        for _ in range(5):
+            w = list(b)
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                at = rng.randrange(1, len(w) - 1)
+                w[at : at + 2] = rng.choice([w[at : at + 2][::-1], w[at : at + 1], [w[at], *w[at : at + 2]]])
+            rows.add((rng.choice(["", "", "robert"]), rng.choice(["", "bakery", "plumbing company"]), "".join(w)))
+    parts = spark.createDataFrame([(i, "", *r) for i, r in enumerate(sorted(rows))], "sid bigint, brand string, given string, line string, folded string")
+    got = {(r.a, r.b): r.s for r in variants.similar_spellings(parts, Stage(spark, "t")).collect()}
+    grams = lambda w: {f"^{w}$"[i : i + 3] for i in range(len(w))}
+    n = len(rows)
+    df = {}
+    for r in rows:
+        for g in grams(r[2]):
+            df[g] = df.get(g, 0) + 1
+    total = n + variants.PRIOR
+    weight = {g: min(255, int(10 * np.log1p(total / (k + variants.SMOOTHING * total)) ** 2 + 0.5)) for g, k in df.items()}
+    expected = {}
+    for i, x in enumerate(sorted(rows)):
+        for j, y in enumerate(sorted(rows)):
+            if i < j and variants.lines_agree(x[1], y[1]) and variants.givens_agree(x[0], y[0]) and variants.slips(x[2], y[2], 2.0) <= variants.allowed_slips(x[2], y[2]):
+                a, b = grams(x[2]), grams(y[2])
+                cosine = sum(weight[g] for g in a & b) / np.sqrt(float(sum(weight[g] for g in a) * sum(weight[g] for g in b)))
+                if round(1000 * cosine) >= 450:
+                    expected[i, j] = round(1000 * cosine)
+    assert len(expected) > 100 and got.keys() == expected.keys()
+    assert all(abs(got[k] - expected[k]) <= 1 for k in got)
+
+
+def test_slips_in_tables_of_a_few_names(spark):
+    """One swap, with the line and without, in a table of four names; a town at the end is no part of a name."""
+    recs = spark.createDataFrame(
+        [("Harrison Bakery", "1 Mill Road, Lorliville"), ("Harrsion Bakery", None), ("Harrsion", ""), ("Harrison Bakery Lorliville Ltd", "9 Mill Road, Lorliville"), ("Gorfuwel Plumbing", "3 Mill Road")], "name string, addr string"
+    )
+    assert organisation_groups(spark, recs) == {frozenset({"Harrison Bakery", "Harrsion Bakery", "Harrsion", "Harrison Bakery Lorliville Ltd"}), frozenset({"Gorfuwel Plumbing"})}
 
 
 ROWS = [
