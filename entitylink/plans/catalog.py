@@ -138,10 +138,9 @@ def strip_accents(spark, d):
     return _all_names(World(spark, d)).select("entity_id", text.ascii_fold(F.col("business_name")).alias("value"))
 
 
-@query(["pool"], f"select entity_id, {sql.domain('lower(x)')} as value from {_NAMES} where regexp_matches(x, '^[\\x00-\\x7F]*$')")
+@query(["pool"], f"select entity_id, {sql.domain(sql.fold('x'))} as value from {_NAMES}")
 def domain_strip(spark, d):
-    n = _all_names(World(spark, d)).filter(F.col("business_name").rlike("^[\\x00-\\x7F]*$"))
-    return n.select("entity_id", text.strip_domain(F.lower("business_name")).alias("value"))
+    return _all_names(World(spark, d)).select("entity_id", text.strip_domain(text.ascii_fold(F.col("business_name"))).alias("value"))
 
 
 def _cleaned(w):
@@ -329,19 +328,43 @@ def _fuzzy_features(spark, d):
     return features.with_features(p.withColumnsRenamed({"score": "blocking_score", "rank": "blocking_rank"}))
 
 
-def _fuzzy_query(name: str, columns: list[str]) -> None:
-    # a common subsequence is no SQL function: these are held against a slow formula in tests
+def _after(needs, extra, body):
+    """A body with one more expression after the shared ones."""
+    return sql.query(needs, "@@").replace("\n@@", ",\n" + extra + "\n" + body)
+
+
+def _fuzzy_query(name: str, columns: list[str], tables: str, body: str) -> None:
     def run(spark, d):
         return _fuzzy_features(spark, d).select("s1_id", "cid", *[F.round(c, 6).alias(c) for c in columns])
 
     _FOUND[name] = run
-
-
-for _name, _columns in {
-    "f_name_ratio": ["name_ratio"], "f_token_sort": ["name_token_sort_ratio"], "f_token_set": ["name_token_set_ratio"], "f_partial": ["name_partial_ratio"],
-    "f_addr_token_set": ["addr_token_set_ratio"], "f_addr_ratio": ["addr_ratio"], "f_legal": ["name_legal_stem_exact", "name_legal_stem_ratio"], "f_guards": ["is_latin_disjoint", "high_name_no_addr"],
-}.items():
-    _fuzzy_query(_name, _columns)
+    _SQL[name] = _after(["pairs"], tables, body)
+
+
+_ratio = lambda name, x, y: sql.ratio_table(name, f"select s1_id, cid, {x} a, {y} b from pairs")
+_r = lambda name, column: f"select s1_id, cid, round(r, 6) {column} from {name}"
+_both_present = lambda name, column: f"select p.s1_id, p.cid, round(case when {_BOTH} then r else 0.0::double end, 6) {column} from pairs p join {name} t on t.s1_id = p.s1_id and t.cid = p.cid"
+_SORT = _ratio("by_sort", sql.sorted_words("cn1"), sql.sorted_words("cn2"))
+_STEMS = _ratio("by_stem", sql.sorted_words("stem1"), sql.sorted_words("stem2"))
+_SETS, _ADDR_SETS = sql.token_set_table("by_set", "cn1", "cn2"), sql.token_set_table("by_addr_set", "ca1", "ca2")
+_DOMAIN_MATCH = "(length(cp1) >= 4 and length(cp2) >= 4 and (contains(cp1, cp2) or contains(cp2, cp1)))"
+_fuzzy_query("f_name_ratio", ["name_ratio"], _ratio("plain", "cn1", "cn2"), _r("plain", "name_ratio"))
+_fuzzy_query("f_token_sort", ["name_token_sort_ratio"], _SORT, _r("by_sort", "name_token_sort_ratio"))
+_fuzzy_query("f_token_set", ["name_token_set_ratio"], _SETS, _r("by_set", "name_token_set_ratio"))
+_fuzzy_query("f_partial", ["name_partial_ratio"], sql.partial_table("by_part", "cn1", "cn2"), _r("by_part", "name_partial_ratio"))
+_fuzzy_query("f_addr_token_set", ["addr_token_set_ratio"], _ADDR_SETS, _both_present("by_addr_set", "addr_token_set_ratio"))
+_fuzzy_query("f_addr_ratio", ["addr_ratio"], _ratio("plain", "ca1", "ca2"), _both_present("plain", "addr_ratio"))
+_fuzzy_query(
+    "f_legal", ["name_legal_stem_exact", "name_legal_stem_ratio"], _SORT + ",\n" + _STEMS,
+    f"""select p.s1_id, p.cid, {sql.flag("stem1 <> '' and stem1 = stem2")} name_legal_stem_exact, round(case when stem1 <> '' and stem2 <> '' then t.r else s.r end, 6) name_legal_stem_ratio
+ from pairs p join by_sort s on s.s1_id = p.s1_id and s.cid = p.cid join by_stem t on t.s1_id = p.s1_id and t.cid = p.cid""",
+)
+_fuzzy_query(
+    "f_guards", ["is_latin_disjoint", "high_name_no_addr"], ",\n".join([_SORT, _SETS, _ADDR_SETS]),
+    f"""select p.s1_id, p.cid, {sql.flag(f"n.r < 45 and not {_DOMAIN_MATCH} and (case when {_BOTH} then a.r else 0 end < 75 or (len(nums1) > 0 and len(nums2) > 0 and {_SHARED} = 0))")} is_latin_disjoint,
+ {sql.flag("ca2 = '' and ((stem1 <> '' and stem1 = stem2) or s.r >= 85 or n.r >= 85)")} high_name_no_addr
+ from pairs p join by_sort s on s.s1_id = p.s1_id and s.cid = p.cid join by_set n on n.s1_id = p.s1_id and n.cid = p.cid join by_addr_set a on a.s1_id = p.s1_id and a.cid = p.cid""",
+)
 
 
 @query()
@@ -361,11 +384,6 @@ def _labelled(w):
     return training.labelled(w.probs.join(w.entities, "s1_id", "left_semi"), w.truth)
 
 
-def _after(needs, extra, body):
-    """A body with one more expression after the shared ones."""
-    return sql.query(needs, "@@").replace("\n@@", ",\n" + extra + "\n" + body)
-
-
 @query()
 def class_weights(spark, d):
     return scoring.class_weights(_labelled(World(spark, d)))
@@ -439,6 +457,12 @@ def postal_veto(spark, d):
     return assemble.postal_veto(f).select("s1_id", "cid")
 
 
+_SQL["postal_veto"] = _after(
+    ["pairs"], _SORT, f"""select p.s1_id, p.cid from pairs p join by_sort s on s.s1_id = p.s1_id and s.cid = p.cid
+ where not (not (cn1 = cn2 and cn1 <> '') and {_BOTH} and len(postal1) > 0 and len(postal2) > 0 and len(list_intersect(postal1, postal2)) = 0 and s.r < 90)""",
+)
+
+
 @query(["s1", "probs"], """select s1.entity_id source1_entity_id, coalesce(m.l, '') matched_entity_ids from s1 left join (
  select s1_id, string_agg(cid, ',' order by cid) l from probs where prob >= 0.56 group by s1_id) m on m.s1_id = s1.entity_id""")
 def assemble_output(spark, d):

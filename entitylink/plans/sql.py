@@ -87,6 +87,40 @@ def jaccard(a: str, b: str) -> str:
     return f"case when {n} > 0 then len(list_intersect({a}, {b}))::double / {n} else 0.0::double end"
 
 
+def ratio_table(name: str, source: str) -> str:
+    """A table of all rows of ``source`` with ``r``, the ratio on the longest common subsequence of its columns ``a`` and ``b``. The places of
+    each letter in the shorter text are the bits of a 128-bit number; folding the longer text's letters over them leaves a zero bit for each common letter."""
+    full = "((1::hugeint << length(x)) - 1)"
+    places = "list_transform(string_split(y, ''), lambda ch: list_sum(list_transform(string_split(x, ''), lambda e, i: case when e = ch then (1::hugeint << (i - 1)) else 0::hugeint end)))"
+    common = f"case when x = '' then 0 else length(x) - bit_count(list_reduce(list_concat([{full}], {places}), lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full})) end"
+    return f"""{name} as (select * exclude (x, y), case when length(x) + length(y) = 0 then 100.0::double else 200.0::double * ({common}) / (length(x) + length(y)) end r
+  from (select *, case when length(a) <= length(b) then a else b end x, case when length(a) <= length(b) then b else a end y from ({source})))"""
+
+
+def sorted_words(x: str) -> str:
+    return f"coalesce(array_to_string(list_sort({words(x)}), ' '), '')"
+
+
+def token_set_table(name: str, x: str, y: str) -> str:
+    """``s1_id, cid, r`` by word sets: the best ratio of the shared words and the shared words with the rest of each side."""
+    join = lambda *parts: "trim(concat_ws(' ', " + ", ".join(f"nullif(coalesce(array_to_string(list_sort({p}), ' '), ''), '')" for p in parts) + "))"
+    sets = f"{name}_sets as (select s1_id, cid, list_distinct({words(x)}) u, list_distinct({words(y)}) v, list_intersect({words(x)}, {words(y)}) both_sides from pairs)"
+    rest = f"{name}_rest as (select s1_id, cid, u, v, both_sides, list_filter(u, lambda w: not list_contains(v, w)) only_u, list_filter(v, lambda w: not list_contains(u, w)) only_v from {name}_sets)"
+    texts = f"{name}_texts as (select *, {join('both_sides')} base, {join('both_sides', 'only_u')} with_u, {join('both_sides', 'only_v')} with_v from {name}_rest)"
+    todo = f"select s1_id, cid, with_u a, with_v b from {name}_texts union all select s1_id, cid, base, with_u from {name}_texts where base <> '' union all select s1_id, cid, base, with_v from {name}_texts where base <> ''"
+    return ",\n".join([sets, rest, texts, ratio_table(f"{name}_ratios", todo), f"""{name} as (select t.s1_id, t.cid, case when len(t.u) = 0 or len(t.v) = 0 then 0.0::double
+    when len(both_sides) > 0 and (len(only_u) = 0 or len(only_v) = 0) then 100.0::double else m.r end r
+  from {name}_texts t join (select s1_id, cid, max(r) r from {name}_ratios group by 1, 2) m on m.s1_id = t.s1_id and m.cid = t.cid)"""])
+
+
+def partial_table(name: str, x: str, y: str) -> str:
+    """``s1_id, cid, r``: the best ratio of the shorter text and any window of its length in the longer, cut off at the ends; both ways if equally long."""
+    turned = f"select s1_id, cid, {x} a, {y} b from pairs where length({x}) <= length({y}) union all select s1_id, cid, {y}, {x} from pairs where length({x}) >= length({y})"
+    windows = f"""select s1_id, cid, a, substring(b, greatest(k, 0)::bigint + 1, (least(k + length(a), length(b)) - greatest(k, 0))::bigint) b from (select *, unnest(range(1 - length(a), length(b))) k from ({turned}) where a <> '' and not contains(b, a))"""
+    return ",\n".join([ratio_table(f"{name}_ratios", f"select distinct * from ({windows})"), f"""{name} as (select p.s1_id, p.cid, case when least(length({x}), length({y})) = 0 then case when {x} = {y} then 100.0::double else 0.0::double end
+    when contains({x}, {y}) or contains({y}, {x}) then 100.0::double else m.r end r from pairs p left join (select s1_id, cid, max(r) r from {name}_ratios group by 1, 2) m on m.s1_id = p.s1_id and m.cid = p.cid)"""])
+
+
 def _source(n: int) -> str:
     return f"""s{n} as (select entity_id, any_value(coalesce(business_name, '')) business_name, any_value(coalesce(business_address, '')) business_address, any_value(trim(country)) country
   from source{n} where entity_id is not null and country is not null group by entity_id)"""
