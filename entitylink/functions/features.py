@@ -17,6 +17,10 @@ name_legal_stem_ratio addr_char_3gram_jaccard postal_code_match first_two_words_
 """.split()
 
 
+#: Record-level columns of a pair, on either side.
+SIDE = ("cn", "ca", "w", "cp", "nums", "stem", "postal", "ws", "as", "g", "ga")
+
+
 def prepared(records: DataFrame) -> DataFrame:
     """Record-level columns that pair features reuse: computed once a record, not once a pair."""
     cn, ca = F.col("cn"), F.col("ca")
@@ -27,13 +31,17 @@ def prepared(records: DataFrame) -> DataFrame:
             "nums": F.array_union(text.numbers(cn), text.numbers(ca)),
             "stem": text.legal_stem(cn),
             "postal": text.postal_codes(ca),
+            "ws": F.array_distinct(text.words(cn)),
+            "as": F.array_distinct(text.words(ca)),
+            "g": text.grams3(cn),
+            "ga": text.grams3(ca),
         }
     )
 
 
 def paired(pairs: DataFrame, left: DataFrame, right: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Pairs ``s1_id, cid`` with the prepared columns of both sides, suffixed 1 and 2; pairs of unknown ids drop out."""
-    side = lambda df, n, key: df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{c}{n}") for c in ("cn", "ca", "w", "cp", "nums", "stem", "postal")])
+    side = lambda df, n, key: df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{c}{n}") for c in SIDE])
     return pairs.select("s1_id", "cid", *keep).join(side(left, 1, "s1_id"), "s1_id").join(side(right, 2, "cid"), "cid")
 
 
@@ -42,8 +50,8 @@ def flag(c: Column) -> Column:
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    both = F.size(F.array_union(a, b))
-    return F.when(both > 0, F.size(F.array_intersect(a, b)) / both).otherwise(0.0)
+    """Of arrays without repeated items: one intersection, the union is counted from the sizes."""
+    return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.size(a) + F.size(b) - F.size(F.array_intersect(a, b))), F.lit(0.0))
 
 
 def _size(c: Column) -> Column:
@@ -57,7 +65,7 @@ def _both() -> Column:
 def plain_features() -> dict[str, Column]:
     """Features made of built-in expressions only."""
     c = F.col
-    t1, t2 = F.array_distinct(c("w1")), F.array_distinct(c("w2"))
+    t1, t2 = c("ws1"), c("ws2")
     shared = F.array_intersect(c("nums1"), c("nums2"))
     n1, n2 = F.length("cn1"), F.length("cn2")
     return {
@@ -77,14 +85,14 @@ def plain_features() -> dict[str, Column]:
         "addr_len_diff": F.when(_both(), F.abs(F.length("ca1") - F.length("ca2"))).otherwise(0).cast("double"),
         "length_ratio": F.when(F.greatest(n1, n2) > 0, F.least(n1, n2) / F.greatest(n1, n2)).otherwise(0.0),
         "token_count_diff": F.abs(F.size("w1") - F.size("w2")).cast("double"),
-        "addr_jaccard": F.when(_both(), jaccard(text.words(c("ca1")), text.words(c("ca2")))).otherwise(0.0),
+        "addr_jaccard": F.when(_both(), jaccard(c("as1"), c("as2"))).otherwise(0.0),
         "num_common": _size(shared),
         "num_jaccard": jaccard(c("nums1"), c("nums2")),
         "num_conflict": flag((F.size("nums1") > 0) & (F.size("nums2") > 0) & (F.size(shared) == 0)),
         "addr_num_exact": flag((F.size("nums1") > 0) & (F.size(F.array_except(c("nums1"), c("nums2"))) == 0)),
         "name_legal_stem_exact": flag((c("stem1") != "") & (c("stem1") == c("stem2"))),
-        "name_char_3gram_jaccard": jaccard(text.grams3(c("cn1")), text.grams3(c("cn2"))),
-        "addr_char_3gram_jaccard": F.when(_both(), jaccard(text.grams3(c("ca1")), text.grams3(c("ca2")))).otherwise(0.0),
+        "name_char_3gram_jaccard": jaccard(c("g1"), c("g2")),
+        "addr_char_3gram_jaccard": F.when(_both(), jaccard(c("ga1"), c("ga2"))).otherwise(0.0),
         "postal_code_match": F.when(_both() & (F.size("postal1") > 0) & (F.size("postal2") > 0), F.when(F.arrays_overlap("postal1", "postal2"), 1.0).otherwise(-1.0)).otherwise(0.0),
     }
 

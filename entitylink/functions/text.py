@@ -29,10 +29,10 @@ DOMAINS = "com|org|net|in|co|gov|edu|fr|io|biz|info"
 
 @lru_cache
 def fold_table() -> tuple[str, str, dict[str, str]]:
-    """What compatibility decomposition makes of the characters of the basic plane, as far as ASCII is left: characters with
-    one ASCII result as two aligned strings, those with several as a dictionary (Latin ligatures, number forms, letter-like signs)."""
+    """What compatibility decomposition makes of all characters, as far as ASCII is left: characters with one ASCII result as two
+    aligned strings, those with several as a dictionary."""
     one_from, one_to, many = [], [], {}
-    for code in range(0xA0, 0xFFFF):
+    for code in range(0xA0, 0x20000):
         ch = chr(code)
         if 0xD800 <= code <= 0xDFFF:
             continue
@@ -40,11 +40,23 @@ def fold_table() -> tuple[str, str, dict[str, str]]:
         if len(ascii_part) == 1:
             one_from.append(ch)
             one_to.append(ascii_part)
-        elif ascii_part and (code < 0x0250 or 0x2000 <= code < 0x2190 or 0xFB00 <= code <= 0xFB06):
+        elif ascii_part:
             many[ch] = ascii_part
     return "".join(one_from), "".join(one_to), many
 
 
+def _ranges(chars) -> str:
+    """A character class of the characters, neighbours as ranges."""
+    out, codes = "", sorted(map(ord, chars))
+    start = last = codes[0]
+    for code in [*codes[1:], -1]:
+        if code != last + 1:
+            out += f"\\x{{{start:X}}}-\\x{{{last:X}}}"
+            start = code
+        last = code
+    return f"[{out}]"
+
+
 def leet(c: Column) -> Column:
     """Digits and signs beside an ASCII letter as the letters they stand for."""
     for sign, letter in LEET:
@@ -55,10 +67,10 @@ def leet(c: Column) -> Column:
 def ascii_fold(c: Column) -> Column:
     """Accents and compatibility forms to ASCII, other characters dropped, lower case."""
     source, target, many = fold_table()
-    several = c
-    for ch, text in many.items():
-        several = F.replace(several, F.lit(ch), F.lit(text))
-    c = F.when(c.rlike("[^\\x00-\\x7F]"), F.translate(F.when(c.rlike("[" + "".join(many) + "]"), several).otherwise(c), source, target)).otherwise(c)
+    # characters with several letters are rare: only texts that hold one are taken apart
+    pairs = F.create_map(*[F.lit(x) for item in many.items() for x in item])
+    several = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch)), "")
+    c = F.when(c.rlike("[^\\x00-\\x7F]"), F.translate(F.when(c.rlike(_ranges(many)), several).otherwise(c), source, target)).otherwise(c)
     return F.lower(F.regexp_replace(c, "[^\\x00-\\x7F]", ""))
 
 

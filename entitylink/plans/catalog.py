@@ -112,10 +112,10 @@ def country_filtered_sources(spark, d):
 
 
 @query(["pool", "gt"], """select entity_id, country from pool where entity_id in (select cid from gt)
- union all (select entity_id, country from pool where entity_id not in (select cid from gt) order by entity_id limit 500)""")
+ union all (select entity_id, country from pool where entity_id not in (select cid from gt) order by entity_id limit 60000)""")
 def candidate_pool(spark, d):
     w = World(spark, d)
-    return records.candidate_pool(w.pool, w.truth.select(F.col("cid").alias("entity_id")).distinct(), 500).select("entity_id", "country")
+    return records.candidate_pool(w.pool, w.truth.select(F.col("cid").alias("entity_id")).distinct(), 60_000).select("entity_id", "country")
 
 
 # ---- B: text
@@ -540,9 +540,9 @@ def train_val_split(spark, d):
     return training.split(World(spark, d).entities)
 
 
-@query(["ents"], "select s1_id from ents order by s1_id limit 20 offset (select floor(count(*) * 0.8)::bigint from ents)")
+@query(["ents"], "select s1_id from ents order by s1_id limit 5000 offset (select floor(count(*) * 0.8)::bigint from ents)")
 def holdout_slice(spark, d):
-    return training.holdout(World(spark, d).entities, 0.8, 20)
+    return training.holdout(World(spark, d).entities, 0.8, 5_000)
 
 
 _LAB_PAIRS = "labp as (select u.s1_id, u.cid, u.rank, case when g.cid is null then 0 else 1 end as label from united u join ents e on e.s1_id = u.s1_id left join gt g on g.s1_id = u.s1_id and g.cid = u.cid)"

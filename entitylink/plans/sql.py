@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from ..functions import text
 
-Q = lambda s: s.replace("'", "''")
 IN = lambda terms: "(" + ", ".join(f"'{t}'" for t in terms) + ")"
 STOP, LEGAL = IN(text.STOP_WORDS), IN(text.LEGAL_TERMS)
 
@@ -16,10 +15,9 @@ def leet(x: str) -> str:
 
 
 def fold(x: str) -> str:
-    source, target, many = text.fold_table()
-    for ch, value in many.items():
-        x = f"replace({x}, '{Q(ch)}', '{Q(value)}')"
-    return f"lower(regexp_replace(translate({x}, '{Q(source)}', '{Q(target)}'), '[^\\x00-\\x7F]', '', 'g'))"
+    """Accents by the database's own function, full-width forms by their distance from ASCII, blanks by their numbers: no table of the engine's is used."""
+    narrow = f"array_to_string(list_transform(string_split({x}, ''), lambda ch: case when unicode(ch) between 65281 and 65374 then chr(unicode(ch) - 65248) when unicode(ch) in (160, 8239, 8287, 12288) or unicode(ch) between 8192 and 8202 then ' ' else ch end), '')"
+    return f"lower(regexp_replace(strip_accents({narrow}), '[^\\x00-\\x7F]', '', 'g'))"
 
 
 def domain(x: str) -> str:
@@ -122,7 +120,7 @@ def partial_table(name: str, x: str, y: str) -> str:
 
 
 def _source(n: int) -> str:
-    return f"""s{n} as (select entity_id, any_value(coalesce(business_name, '')) business_name, any_value(coalesce(business_address, '')) business_address, any_value(trim(country)) country
+    return f"""s{n} as (select entity_id, min(coalesce(business_name, '')) business_name, min(coalesce(business_address, '')) business_address, min(trim(country)) country
   from source{n} where entity_id is not null and country is not null group by entity_id)"""
 
 

@@ -20,12 +20,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
-    """One source with nulls as empty strings, trimmed country, rows without a country dropped, one row per id."""
+    """One source with nulls as empty strings, trimmed country, rows without a country dropped, one row per id: of a repeated id with
+    differing texts the least of each."""
     raw = read_table(spark, sf_dir, f"source{number}")
     return (
         raw.filter(F.col("entity_id").isNotNull() & F.col("country").isNotNull())
         .select("entity_id", F.coalesce("business_name", F.lit("")).alias("business_name"), F.coalesce("business_address", F.lit("")).alias("business_address"), F.trim("country").alias("country"))
-        .dropDuplicates(["entity_id"])
+        .groupBy("entity_id").agg(*[F.min(c).alias(c) for c in ("business_name", "business_address", "country")])
     )
 
 
