@@ -67,7 +67,7 @@ def p8_shares(spark, d):
 
 
 def p9_found(spark, d):
-    return truncated(table(spark, d, "documents"), Stage(spark, "p9"))
+    return truncated(table(spark, d, "documents"), Stage(spark, "p9")).select("doc_id")
 
 
 def p9_rates(spark, d):

@@ -39,6 +39,10 @@ _DOTS = r"\s*(?:\.\.\.+|…)\s*$"
 # scripts without spaces between words count by character
 _WORD = r"(?:[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]][\p{L}\p{M}\p{N}'’&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]*)"
 _PIECES = rf"({_WORD})([^\p{{L}}\p{{M}}\p{{N}}]*)"
+# the same for texts without any character of those scripts, whose blocks are these
+_NO_SPACES = r"[\x{2E80}-\x{A4CF}\x{F900}-\x{FAFF}\x{FE30}-\x{FE4F}\x{FF00}-\x{FFEF}\x{16FE0}-\x{1B2FF}\x{1F200}-\x{1F2FF}\x{20000}-\x{3FFFF}]"
+_PLAIN_WORD = r"[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}'’]*+"
+_PLAIN_PIECES = rf"{_PLAIN_WORD}[^\p{{L}}\p{{M}}\p{{N}}]*+"
 _STOPS = r"[.!?…।॥。！？؟:;]|\n"
 # an opened tag, bracket code, entity or address that does not end
 _BROKEN_END = r"(?:<[a-zA-Z/!][^<>]{0,80}|\[/?[a-zA-Z*]{1,12}(?:=[^\]\n]{0,60})?|\[/?|</?|&(?:[a-zA-Z]{2,8}|#\d{0,5})|&(?:amp;)+[a-zA-Z]{1,6}|\b(?:https?:?/{0,2}|http|htt|www\.?)|https?://[a-z0-9-]{1,40}\.?)$"
@@ -49,29 +53,55 @@ _SIGNED = r"(?s)(?:^|\n)(?:-- ?|_{5,}|—+|-{4,})\n[^\n]{1,120}$"
 _QUOTED_END = r"(?:^|\n)>[^\n]*(?:\[\.\.\.\]|\[…\]|…|\.\.\.)\s*$"
 
 
+#: Characters of an ending that are judged; the last line is judged whole if it is longer. No pattern looks further back.
+ENDING = 300
+# blanks as the patterns' \\s counts them
+_SPACES = " \t\n\x0b\f\r"
+
+
+def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """Further columns that are computed once for each row, however often later columns use them."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def _ending(c: str) -> Column:
+    line = F.substring_index(c, "\n", -1)
+    return F.when(F.length(line) > ENDING, F.concat(F.when(F.length(line) < F.length(c), "\n").otherwise(""), line)).otherwise(F.substring(c, -ENDING, ENDING))
+
+
 def endings(documents: DataFrame) -> DataFrame:
-    """``doc_id, source, chars, bytes, tail, last, kind``: the length and the ending of each text that has one."""
-    t = F.regexp_replace("text", r"\s+$", "")
-    df = documents.filter(F.col("text").isNotNull()).select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text", t.alias("shown"))
-    df = df.withColumn("shown", F.regexp_replace("shown", r"(?:\s|&(?:amp;)*nbsp;)+$", "")).withColumn("marked", F.col("shown").rlike(_MARK)).withColumn("body", F.regexp_replace(F.regexp_replace("shown", _MARK, ""), _DOTS, ""))
-    df = df.withColumn("dotted", ~F.col("marked") & F.col("shown").rlike(_DOTS)).filter(F.col("body") != "")
-    tail = F.substring("body", -160, 160)
+    """``doc_id, source, chars, bytes, dotted, kind, last, ending``: the length and the ending of each text that has one.
+
+    Texts are trimmed with built-in functions; every pattern then runs on the ending only, which holds all that it may match.
+    """
+    keep = ["doc_id", "source", "bytes"]
+    df = documents.filter(F.col("text").isNotNull()).select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.octet_length("text").alias("bytes"), F.rtrim("text", F.lit(_SPACES)).alias("t"))
+    df = _once(df, keep, shown=F.when(F.endswith("t", F.lit("nbsp;")), F.regexp_replace("t", r"(?:\s|&(?:amp;)*nbsp;)+$", "")).otherwise(F.col("t")))
+    df = _once(df, keep, total=F.length("shown"), end=_ending("shown"))
+    df = _once(df, [*keep, "total", "end"], marked=F.col("end").rlike(_MARK), dots=F.col("end").rlike(_DOTS))
+    unmarked = F.when(F.col("marked"), F.regexp_replace("end", _MARK, "")).otherwise(F.col("end"))
+    df = _once(df, [*keep, "total", "end", "marked", (~F.col("marked") & F.col("dots")).alias("dotted")], tail=F.when(F.col("marked") | F.col("dots"), F.regexp_replace(unmarked, _DOTS, "")).otherwise(F.col("end")))
+    tail = F.col("tail")
+    df = df.withColumn("chars", F.col("total") - F.length("end") + F.length(tail)).filter("chars > 0")
+    # the last character decides which patterns can match at all
+    df = _once(df, [*keep, "chars", "marked", "dotted", "end", "tail"], wordy=F.substring(tail, -1, 1).rlike(r"[\p{L}\p{M}\p{N}'’]"), shut=F.substring(tail, -1, 1))
+    near = F.substring(tail, -100, 100)  # longer than anything broken that the patterns allow
+    stopped = F.substring(F.rtrim(tail, F.lit("\"'”’»)]}*_")), -1, 1).isin(*".!?…।॥。！？؟")
     kind = (
-        F.when(F.col("shown").rlike(_QUOTED_END), "quoted")
+        F.when((F.col("marked") | F.col("dotted") | F.endswith("end", F.lit("]"))) & F.col("end").rlike(_QUOTED_END), "quoted")
         .when(F.col("marked"), "marked")
-        .when(tail.rlike(_CODE_END) | tail.rlike(_SIGNED) | tail.rlike(_LINK_END), "finished")
-        .when(tail.rlike(_BROKEN_END), "broken")
-        .when(tail.rlike(r"[.!?…।॥。！？؟][\"'”’»)\]}*_]*$"), "stopped")
-        .when(tail.rlike(r"(?:°\s?[CFcf]|[:;=]-?[()]|&(?:amp;)*[a-zA-Z#0-9]+;)$"), "closed")
-        .when(tail.rlike(r"[,:(–—\-]$|\([^()\n]{0,24}$"), "open")
-        .when(~tail.rlike(r"[\p{L}\p{M}\p{N}'’]$"), "closed")
+        .when(F.col("shut").isin("]", ">", "`") & tail.rlike(_CODE_END) | tail.rlike("--|__|—") & tail.rlike(_SIGNED) | tail.rlike(r"://|www\.") & tail.rlike(_LINK_END), "finished")
+        .when(near.rlike(_BROKEN_END), "broken")
+        .when(stopped, "stopped")
+        .when(F.substring(tail, -3, 3).rlike(r"(?:°\s?[CFcf]|[:;=]-?[()])$") | (F.col("shut") == ";") & tail.rlike(r"&(?:amp;)*[a-zA-Z#0-9]+;$"), "closed")
+        .when(F.col("shut").isin(*",:(–—-") | F.substring(tail, -25, 25).rlike(r"\([^()\n]{0,24}$"), "open")
+        .when(~F.col("wordy"), "closed")
         .otherwise("word")
     )
-    last = F.lower(F.regexp_extract("body", rf"({_WORD})[^\p{{L}}\p{{M}}\p{{N}}]*$", 1))
-    return df.select(
-        "doc_id", "source", F.length("body").alias("chars"), F.octet_length("text").alias("bytes"), "dotted", kind.alias("kind"), last.alias("last"),
-        F.xxhash64(F.substring(F.regexp_replace(F.lower(F.substring("body", -80, 80)), r"[^\p{L}]", ""), -10, 10)).alias("ending"),
-    )
+    of = lambda word: F.regexp_extract("tail", rf"({word})[^\p{{L}}\p{{M}}\p{{N}}]*$", 1)
+    last = F.lower(F.when(tail.rlike(_NO_SPACES), of(_WORD)).otherwise(of(_PLAIN_WORD)))
+    letters = F.regexp_replace(F.lower(F.substring("tail", -80, 80)), r"[^\p{L}]+", "")
+    return df.select("doc_id", "source", "chars", "bytes", "dotted", kind.alias("kind"), last.alias("last"), F.xxhash64(F.substring(letters, -10, 10)).alias("ending"))
 
 
 def hazards(ends: DataFrame) -> DataFrame:
@@ -100,8 +130,8 @@ def hazards(ends: DataFrame) -> DataFrame:
 def word_statistics(documents: DataFrame) -> DataFrame:
     """``word, n, finals``: how often a word stands inside the texts, and how often at the end of a sentence. The last word of a
     text is left out: it is what is judged."""
-    pieces = F.regexp_extract_all("text", F.lit(_PIECES), F.lit(0))
-    each = documents.filter(F.col("text").isNotNull()).select(pieces.alias("p")).filter(F.size("p") > 1).select(F.explode(F.slice("p", 1, F.size("p") - 1)).alias("piece"))
+    pieces = F.when(F.col("text").rlike(_NO_SPACES), F.regexp_extract_all("text", F.lit(_PIECES), F.lit(0))).otherwise(F.regexp_extract_all("text", F.lit(_PLAIN_PIECES), F.lit(0)))
+    each = documents.filter(F.col("text").isNotNull()).select(F.explode(F.array(pieces)).alias("p")).filter(F.size("p") > 1).select(F.explode(F.slice("p", 1, F.size("p") - 1)).alias("piece"))
     counted = each.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     words = counted.select(F.lower(F.regexp_extract("piece", rf"^{_WORD}", 0)).alias("word"), "n", F.when(F.regexp_extract("piece", rf"^{_WORD}([\s\S]*)$", 1).rlike(_STOPS), F.col("n")).otherwise(0).alias("finals"))
     return words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("finals").alias("finals"))
@@ -127,8 +157,8 @@ def judged(documents: DataFrame, stage: Stage) -> DataFrame:
     surplus = F.greatest(F.lit(0.0), F.col("ends") - 3 - 10 * F.col("texts") * TRANSFER_ODDS * left_over / F.col("all_n"))
     finals = F.col("finals") + surplus * F.col("all_finals") / F.greatest(F.col("texts"), F.lit(1))
     ratio = seen.select(F.col("word").alias("last"), ((F.col("all_finals") / F.col("all_n")) * left_over / (finals + UNSEEN)).alias("ratio"))
-    limits = hazards(ends)
-    limit = lambda unit: F.broadcast(limits.filter(F.col("unit") == unit).select("source", F.col("length").alias(unit), F.col("excess").alias(f"{unit}_excess")))
+    limits = stage.put("limits", hazards(ends))
+    limit = lambda unit: limits.filter(F.col("unit") == unit).select("source", F.col("length").alias(unit), F.col("excess").alias(f"{unit}_excess"))
     full = ends.join(limit("chars"), ["source", "chars"], "left").join(limit("bytes"), ["source", "bytes"], "left").join(ratio, "last", "left")
     excess = F.greatest(F.coalesce("chars_excess", F.lit(0.0)), F.coalesce("bytes_excess", F.lit(0.0)))
     prior = F.when(excess > 0, excess / (1 - F.least(excess, F.lit(0.99)))).otherwise(TRANSFER_ODDS)
@@ -141,11 +171,12 @@ def judged(documents: DataFrame, stage: Stage) -> DataFrame:
 
 
 def truncated(documents: DataFrame, stage: Stage) -> DataFrame:
-    """``doc_id`` of the texts that were cut off."""
-    return judged(documents, stage).filter(F.col("odds") > 1).select("doc_id")
+    """``doc_id, at_limit`` of the texts that were cut off; ``at_limit`` tells those at a significant length from those cut in transfer."""
+    return judged(documents, stage).filter(F.col("odds") > 1).select("doc_id", (F.col("excess") > 0).alias("at_limit")).distinct()
 
 
 def truncation_rates(documents: DataFrame, stage: Stage) -> DataFrame:
-    """``source, documents, truncated, share``; a null source is its own row."""
-    cut = truncated(documents, stage).withColumn("cut", F.lit(1))
-    return documents.select("doc_id", "source").join(cut, "doc_id", "left").groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count("cut").alias("truncated"), (F.count("cut") / F.count(F.lit(1))).alias("share"))
+    """``source, documents, truncated, at_limit, share``; a null source is its own row, a repeated row counts once."""
+    docs = documents.select("doc_id", "source").distinct()
+    found = docs.join(truncated(documents, stage), "doc_id", "left").groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count("at_limit").alias("truncated"), F.count_if("at_limit").alias("at_limit"))
+    return found.withColumn("share", F.col("truncated") / F.col("documents"))
