@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder all executors share, from ``spark.checkpoint.dir``; a temporary one only where that is unset (local tests)."""
+    """Folder all executors share, from ``spark.checkpoint.dir``. Where that is unset, a temporary one in local mode, as in tests; on a
+    cluster the parts would lie on different machines, so it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="entitylink-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -23,13 +26,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 class Stage:
     """Writes intermediate tables to the shared folder, which cuts lineage and survives the loss of executors.
 
-    ``put`` replaces the table of the same name; ``drop`` deletes one. The files are Parquet, so later steps read
-    only the columns they use.
+    ``put`` replaces the table of the same name; ``drop`` deletes one; ``clear`` deletes all, once no result is read any more. The files are
+    Parquet, so later steps read only the columns they use. All stages of an application lie in one folder named by its id.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+        self.root = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
         self.turn = 0
 
@@ -44,9 +47,15 @@ class Stage:
     def drop(self, name: str) -> None:
         old = self.paths.pop(name, None)
         if old:
-            jvm = self.spark._jvm
-            target = jvm.org.apache.hadoop.fs.Path(old)
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+            self._delete(old)
+
+    def clear(self) -> None:
+        self.paths.clear()
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def ship(spark: SparkSession) -> None:
