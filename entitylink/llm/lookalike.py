@@ -9,7 +9,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import records
+from .shared import Stage, records
 
 # Letters of other alphabets that look like a Latin letter (Unicode confusables, only pairs that common fonts draw alike).
 LOOKS_LIKE = {
@@ -82,9 +82,9 @@ def expand_variants(named: DataFrame, key: str, value: str = "name") -> DataFram
     return variants.join(one, "va").join(two, "vb").select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 
-def same_to_the_eye(live: DataFrame) -> DataFrame:
+def same_to_the_eye(live: DataFrame, stage: Stage) -> DataFrame:
     """``id_a, id_b``: records whose stored names differ and look the same. Null names, and names without any visible
     character, pair with nothing."""
-    named = records(live).filter(F.col("name").isNotNull()).select("id", "name")
+    named = stage.put("named", records(live).filter(F.col("name").isNotNull()).select("id", "name"))
     forms = named.select("name").distinct().withColumn("form", visible_column(F.col("name"))).filter("form <> ''")
-    return expand_variants(named.join(forms, "name"), "form")
+    return expand_variants(stage.put("formed", named.join(forms, "name")), "form")

@@ -49,7 +49,7 @@ def p5_rules(spark, d):
 
 
 def p6_found(spark, d):
-    return same_to_the_eye(table(spark, d, "live_match_requests").select("s1_id", "s1_name", "s1_addr", "cand_id", "cand_name", "cand_addr"))
+    return same_to_the_eye(table(spark, d, "live_match_requests").select("s1_id", "s1_name", "s1_addr", "cand_id", "cand_name", "cand_addr"), Stage(spark, "p6"))
 
 
 def p7_ids(spark, d):

@@ -69,6 +69,25 @@ def test_components(spark, shape):
     assert got == union_find(pairs, vertices)
 
 
+def test_components_with_split_sets(spark, monkeypatch):
+    """Sets of more than a few members are spread over tasks, with the same groups."""
+    monkeypatch.setattr(components, "HOT_SET", 3)
+    rng = random.Random(4)
+    pairs = [(f"v{rng.randrange(90):03}", f"w{rng.randrange(60):03}") for _ in range(110)]
+    vertices = {v for p in pairs for v in p}
+    got = components.hash_to_min(spark.createDataFrame(pairs, "a string, b string"), spark.createDataFrame([(v,) for v in vertices], "v string"), Stage(spark, "t"))
+    assert {r.vertex: r.group for r in got.collect()} == union_find(pairs, vertices)
+
+
+def test_stage_clears_its_tables(spark):
+    stage = Stage(spark, "t")
+    kept = stage.put("a", spark.range(3))
+    assert kept.count() == 3
+    stage.clear()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(stage.root).count()
+
+
 def test_match_groups_untidy_lists(spark):
     rows = [("s1-2 ", " S2-9 ,, s2-9"), ("S1-1", None), ("S1-3", ""), ("S1-4", "S2-9"), ("S1-2", "S3-1"), ("S1-2", "S3-1"), (None, "S2-5,S3-6")]
     df = spark.createDataFrame(rows, "source1_entity_id string, matched_entity_ids string")
@@ -91,9 +110,9 @@ def test_visible_form(a, b, same):
 
 def test_same_to_the_eye(spark):
     rows = [("S1-1", "Tea Co", None, "S2-1", "Tea Co", None, 1.0, 1), ("S1-1", None, None, "S2-2", "Tea Co", None, 1.0, 1), ("S1-2", "​", None, "S2-3", None, None, 1.0, 1), ("S1-1", "Tea Co", None, "S2-1", "Tea Co", None, 1.0, 1)]
-    got = {(r.id_a, r.id_b) for r in lookalike.same_to_the_eye(live(spark, rows)).collect()}
+    got = {(r.id_a, r.id_b) for r in lookalike.same_to_the_eye(live(spark, rows), Stage(spark, "t")).collect()}
     assert got == {("S1-1", "S2-1"), ("S2-1", "S2-2")}
-    assert lookalike.same_to_the_eye(live(spark, [])).count() == 0
+    assert lookalike.same_to_the_eye(live(spark, []), Stage(spark, "t")).count() == 0
     forms = {r.id: (r.form, r.folded) for r in lookalike.normalised_names(live(spark, rows)).collect()}
     assert forms["S2-1"] == ("Tea Co", "tea co") and forms["S1-2"][0] == ""
 
