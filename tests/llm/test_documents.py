@@ -47,6 +47,19 @@ def test_mixture(spark):
     assert mixing.mixture(docs.limit(0), targets, Stage(spark, "t")).count() == 0
 
 
+def test_mixture_of_a_given_total_and_of_scarce_sources(spark):
+    """Sources below their share give all they have; a source of a few documents doesn't hold the total down."""
+    docs = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate([("big", 10)] * 100 + [("mid", 10)] * 50 + [("tiny", 10)])], "doc_id bigint, source string, tokens bigint")
+    targets = spark.createDataFrame([("big", 2.0, 2), ("mid", 1.0, 3), ("tiny", 1.0, 4)], "source string, target_weight double, max_repeats int")
+    goals = lambda total: {r.source: round(r.goal, 6) for r in mixing.quotas(docs, targets, total).collect()}
+    assert goals(None) == {"big": 2000, "mid": 1000, "tiny": 40}
+    assert goals(80) == {"big": 40, "mid": 20, "tiny": 20}
+    assert goals(640) == {"big": 400, "mid": 200, "tiny": 40}
+    assert goals(3400) == {"big": 2000, "mid": 1360, "tiny": 40}
+    assert goals(9_000_000) == {"big": 2000, "mid": 1500, "tiny": 40}
+    assert mixing.quotas(docs.limit(0), targets, 100).count() == 0
+
+
 WORDS = "the rusty belt lost some noise whenever it rains because nobody greased shaft and another gasket carries thin crust of salt".split()
 
 
