@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,24 +28,68 @@ def feature_rows(queries: DataFrame, pool: DataFrame, k: int = 25, min_score: fl
     return features.with_features(features.paired(found, features.prepared(queries), features.prepared(pool), ("blocking_score", "blocking_rank")))
 
 
-def train_on(world, params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
-    """A model trained on the labelled entities of a folder, and the labelled feature rows it came from.
+class Inputs:
+    """What training and evaluation read: cleaned source-1 records ``q``, cleaned candidates ``c``, true pairs and labelled entities."""
+
+    def __init__(self, s1: DataFrame, others: DataFrame, truth_lists: DataFrame, owner: str = "source1_entity_id", items: str = "matched_entity_ids"):
+        self.q, self.c = index.cleaned(s1), index.cleaned(records.of_countries(others, s1))
+        self.truth = records.id_list_pairs(truth_lists, owner, items).distinct()
+        self.entities = truth_lists.select(F.col(owner).alias("s1_id")).distinct()
+
+
+#: Parameters of the registered queries, which train on a few hundred rows each time they run: fewer and shallower trees, larger steps.
+QUICK = {"max_depth": 5, "rounds": 10, "step_size": 0.3}
+#: Training rows of one partition.
+TRAINING_PARTITION = 50_000
+
 
-    The rows are the labelled entities' candidates with at most four negatives each, beside the true pairs blocking missed: their
-    number is bounded by the labels, not by the sources.
-    """
+def training_rows(world, kept: list[DataFrame] | None = None) -> DataFrame:
+    """Labelled feature rows: the labelled entities' candidates with at most four negatives each, beside the true pairs blocking missed.
+    Their number is bounded by the labels, not by the sources. The candidates are read twice; with a list ``kept`` they are persisted
+    and added to it, for the caller to release."""
     labelled_ids = world.entities.select(F.col("s1_id").alias("entity_id"))
     queries, pool = world.q.join(labelled_ids, "entity_id", "left_semi"), world.c
-    found = candidates.union_channels(queries, pool).select("s1_id", "cid", "score", "rank").persist()
+    found = candidates.union_channels(queries, pool).select("s1_id", "cid", "score", "rank")
+    if kept is not None:
+        kept.append(found.persist())
     chosen = training.hard_negatives(training.labelled(found, world.truth)).unionByName(training.missed_positives(world.truth, found, pool))
     chosen = chosen.withColumnsRenamed({"score": "blocking_score", "rank": "blocking_rank"})
-    rows = features.with_features(features.paired(chosen, features.prepared(queries), features.prepared(pool), ("blocking_score", "blocking_rank", "label")), ("label",)).persist()
-    return scoring.train(rows, {"max_depth": 5, "rounds": 10, "step_size": 0.3} | (params or {})), rows
-
-
-def run(s1: DataFrame, others: DataFrame, model: PipelineModel, threshold: float, k: int = 25, veto: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Result lists and candidate lists of every source-1 record."""
-    queries, pool = index.cleaned(s1), index.cleaned(records.of_countries(others, s1))
+    return features.with_features(features.paired(chosen, features.prepared(queries), features.prepared(pool), ("blocking_score", "blocking_rank", "label")), ("label",))
+
+
+def feature_table(rows: DataFrame, folder: str, settings: dict) -> DataFrame:
+    """The rows as a table below ``folder``, named by a digest of the settings they were made with: made once, read by later trainings.
+    Other settings never find it."""
+    spark = rows.sparkSession
+    path = f"{folder}/features-{hashlib.sha256(json.dumps(settings, sort_keys=True).encode()).hexdigest()[:16]}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def train_on(world, params: dict | None = None, rows: DataFrame | None = None) -> PipelineModel:
+    """A model trained on the labelled entities with the trainer's defaults. A fifth of the entities stop it early; if a side of
+    the split is empty, it trains all rounds on all rows."""
+    kept: list[DataFrame] = []
+    rows = (training_rows(world, kept) if rows is None else rows).persist()
+    kept.append(rows)
+    try:
+        # every split of every tree is a job: few rows in many partitions would be nothing but tasks
+        sided = rows.join(training.split(world.entities, 0.2), "s1_id").repartition(rows.count() // TRAINING_PARTITION + 1)
+        both = sided.select("is_validation").distinct().count() == 2
+        return scoring.train(sided, params, "is_validation" if both else None)
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
+def match(s1: DataFrame, queries: DataFrame, pool: DataFrame, model: PipelineModel, threshold: float, k: int = 25, veto: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Result lists and candidate lists of every source-1 record, from cleaned records."""
     rows = feature_rows(queries, pool, k)
     scored = assemble.over_threshold(scoring.score(model, rows), threshold)
     if veto:
@@ -51,6 +98,29 @@ def run(s1: DataFrame, others: DataFrame, model: PipelineModel, threshold: float
     return matches, assemble.lists(s1, rows, "candidate_entity_ids", ["blocking_rank"])
 
 
+def run(s1: DataFrame, others: DataFrame, model: PipelineModel, threshold: float, k: int = 25, veto: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Result lists and candidate lists of every source-1 record."""
+    return match(s1, index.cleaned(s1), index.cleaned(records.of_countries(others, s1)), model, threshold, k, veto)
+
+
+# Bounds of the number of entities of a benchmark.
+BENCHMARK_ENTITIES = (100, 5000)
+
+
+def run_benchmark(world, model: PipelineModel, threshold: float, n: int = 2000) -> DataFrame:
+    """Full metrics on ``n`` held-out labelled entities, ``n`` kept within its bounds; those after the first four fifths in the order of ids."""
+    low, high = BENCHMARK_ENTITIES
+    held = training.holdout(world.entities, 0.8, max(low, min(high, n)))
+    queries = world.q.join(held.select(F.col("s1_id").alias("entity_id")), "entity_id", "left_semi")
+    return evaluate(held, world.truth.join(held, "s1_id", "left_semi"), scoring.score(model, feature_rows(queries, world.c)), threshold)
+
+
+def stats(path: str, spark: SparkSession, n: int = 10) -> dict:
+    """Importances of a stored model's features, and the metrics, threshold and parameters stored with it."""
+    model, settings = scoring.load(path)
+    return {"features": [(r.feature, r.importance) for r in scoring.importances(model, spark, n).collect()], **settings}
+
+
 def evaluate(entities: DataFrame, truth: DataFrame, scored: DataFrame, threshold: float) -> DataFrame:
     """Full metrics of scored pairs at a threshold."""
     return metrics.full_metrics(metrics.per_entity(entities, truth, assemble.over_threshold(scored, threshold).join(entities.select("s1_id"), "s1_id", "left_semi")))

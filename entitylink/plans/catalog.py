@@ -29,11 +29,16 @@ def query(needs: list[str] | None = None, body: str | None = None):
     return register
 
 
+_KEPT: list = []
+
+
 class World:
     """The tables of a folder, prepared as the operators want them."""
 
     def __init__(self, spark, d):
         self.spark, self.d = spark, d
+        while _KEPT:  # an earlier query's records; a result of it that is read later computes them again
+            _KEPT.pop().unpersist()
 
     def table(self, name):
         return records.read_table(self.spark, self.d, name)
@@ -46,15 +51,19 @@ class World:
         s1 = self.source(1)
         return records.of_countries(self.source(2).unionByName(self.source(3)), s1)
 
-    # cleaned records are read by every channel and by the features: kept in memory or on disk until the session's cache is cleared
+    # cleaned records are read by every channel and by the features: kept in memory or on disk until another query's are
+
+    def _keep(self, df):
+        _KEPT.append(df.persist())
+        return df
 
     @cached_property
     def q(self):
-        return index.cleaned(self.source(1)).persist()
+        return self._keep(index.cleaned(self.source(1)))
 
     @cached_property
     def c(self):
-        return index.cleaned(self.pool).persist()
+        return self._keep(index.cleaned(self.pool))
 
     @property
     def truth(self):
@@ -427,21 +436,23 @@ _SQL["roc_auc"] = _after(
 )
 
 
-def _trained(spark, d):
-    return api.train_on(World(spark, d))
-
-
 @query()
 def model_score(spark, d):
-    """Pairs of the labelled entities with the probability of a model trained on them."""
-    model, rows = _trained(spark, d)
-    return scoring.score(model, rows).select("s1_id", "cid", "label", F.round("prob", 6).alias("prob"))
+    """The candidates of all source-1 records with the probability of a model trained on the labelled ones."""
+    w = World(spark, d)
+    return scoring.score(api.train_on(w, api.QUICK), api.feature_rows(w.q, w.c)).select("s1_id", "cid", F.round("prob", 6).alias("prob"))
 
 
 @query()
 def feature_importance(spark, d):
-    model, _ = _trained(spark, d)
-    return scoring.importances(model, spark)
+    return scoring.importances(api.train_on(World(spark, d), api.QUICK), spark)
+
+
+@query()
+def run_pipeline(spark, d):
+    """Training, blocking, features, scores, threshold, veto and lists: one row for every source-1 record."""
+    w = World(spark, d)
+    return api.match(w.source(1), w.q, w.c, api.train_on(w, api.QUICK), 0.56)[0]
 
 
 # ---- H: assembly
@@ -677,16 +688,33 @@ def v_extra(spark, d):
 @query()
 def v_report(spark, d):
     w = World(spark, d)
-    return validate.report(w.table("matching_results"), *_RESULT, w.table("source1"), w.table("source2").unionByName(w.table("source3")))
+    return validate.report(w.table("matching_results"), *_RESULT, w.table("source1"), w.table("source2").unionByName(w.table("source3")), listed=w.listed)
 
 
-_SQL["v_report"] = f"""with {_RAW_ITEMS},
+_NOT_LISTED = "select distinct i.s1_id, i.cid from items i anti join cands c on c.s1_id = i.s1_id and c.cid = i.cid"
+_SQL["v_report"] = f"""with {_RAW_ITEMS}, {sql.CTES["cands"][1]},
 every as (
  select distinct case when starts_with(cid, 'S1-') then 'self_match' else 'bad_prefix' end as rule, cid id from items where starts_with(cid, 'S1-') or not (starts_with(cid, 'S2-') or starts_with(cid, 'S3-'))
  union all select 'duplicate_row', s1_id from ({_SQL['v_dup_rows']}) union all select distinct 'repeated_item', s1_id from ({_SQL['v_intra_dup']})
  union all select 'missing', s1_id from ({_SQL['v_missing']}) union all select 'unexpected', s1_id from ({_SQL['v_extra']})
- union all select 'unknown', cid from (select distinct cid from items where cid not in (select entity_id from source2 union select entity_id from source3)))
-select rule, 'error' severity, count(*) n, array_to_string(list_sort(list(id))[1:5], ',') examples from every group by rule"""
+ union all select 'unknown', cid from (select distinct cid from items where cid not in (select entity_id from source2 union select entity_id from source3))
+ union all select 'match_not_candidate', s1_id || ':' || cid from ({_NOT_LISTED}))
+select rule, case when rule = 'match_not_candidate' then 'warning' else 'error' end severity, count(*) n, array_to_string(list_sort(list(id))[1:5], ',') examples from every group by rule"""
+
+
+@query()
+def v_warnings(spark, d):
+    w = World(spark, d)
+    return validate.not_candidates(w.table("matching_results"), *_RESULT, w.listed)
+
+
+_SQL["v_warnings"] = f"with {_RAW_ITEMS}, {sql.CTES['cands'][1]} {_NOT_LISTED}"
+
+
+@query([], """select count(*) as rows, count(*) filter (n = 0) empty_lists, coalesce(sum(n), 0)::bigint ids from (
+ select len(list_filter(list_transform(string_split(coalesce(matched_entity_ids, ''), ','), lambda x: trim(x)), lambda x: x <> '')) n from matching_results)""")
+def v_counters(spark, d):
+    return validate.counters(World(spark, d).table("matching_results"), _RESULT[1])
 
 
 # ---- L: functions behind the serving surface

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ("entity_id", "business_name", "business_address", "country")])
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType = RECORD) -> DataFrame:
     """A tab-separated file with a header and no quoting. Rows with too few fields are dropped: the last column is null there."""
     df = spark.read.schema(schema).csv(path, sep="\t", header=True, quote="", escape="", mode="PERMISSIVE")
     return df.filter(F.col(schema.names[-1]).isNotNull())

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import api
+from ..operators import index
 from ..sources.records import RECORD
 
 
@@ -17,10 +18,13 @@ def arriving(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFram
 
 
 def match_stream(stream: DataFrame, others: DataFrame, model: PipelineModel, threshold: float, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Writes matches of each micro-batch below ``out``, one folder a batch, so a batch that is run again replaces its own rows."""
+    """Writes matches of each micro-batch below ``out``, one folder a batch, so a batch that is run again replaces its own rows.
+    The candidate side is cleaned once, before the first batch, and kept for all of them."""
+    pool = index.cleaned(others).persist()
 
     def step(batch: DataFrame, number: int) -> None:
-        matches, _ = api.run(batch.dropDuplicates(["entity_id"]).na.fill(""), others, model, threshold)
+        s1 = batch.dropDuplicates(["entity_id"]).na.fill("")
+        matches, _ = api.match(s1, index.cleaned(s1), pool, model, threshold)
         matches.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -7,7 +7,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from entitylink.functions import text, tokens
+from entitylink.functions import features, text, tokens
 from entitylink.operators import assemble, candidates, index, metrics, scoring, training, validate
 from entitylink.sources import records
 
@@ -191,3 +191,58 @@ def test_tokens_keep_multiplicity(spark):
     df = spark.createDataFrame([("rodi bakery", "12 hill road")], "cn string, ca string")
     got = df.select(F.array_sort(tokens.blocking_tokens(F.col("cn"), F.col("ca")))).first()[0]
     assert got == sorted(["rodi", "bakery", "12", "hill", "rodibakery", "rodibakery", "num_12", "rod", "odi", "bak", "ake", "ker", "ery"])
+
+
+def test_warnings_counters_and_status(spark):
+    df = spark.createDataFrame([("S1-1", "S2-1, S3-1"), ("S1-2", None), ("S1-4", "S2-2")], "source1_entity_id string, matched_entity_ids string")
+    listed = spark.createDataFrame([("S1-1", "S2-1"), ("S1-4", "S2-2")], "s1_id string, cid string")
+    owner, items = validate.HEADERS["matching"]
+    assert [tuple(r) for r in validate.not_candidates(df, owner, items, listed).collect()] == [("S1-1", "S3-1")]
+    assert tuple(validate.counters(df, items).first()) == (3, 1, 3) and tuple(validate.counters(df.limit(0), items).first()) == (0, 0, 0)
+    s1, other = spark.createDataFrame(S1, SCHEMA), spark.createDataFrame(OTHER, SCHEMA)
+    found = validate.report(df.unionByName(spark.createDataFrame([("S1-3", "")], df.schema)), owner, items, s1, other, listed=listed)
+    assert [(r.rule, r.severity, r.n) for r in found.collect()] == [("match_not_candidate", "warning", 1)] and validate.exit_status(found) == 0
+    assert validate.exit_status(validate.report(df, owner, items, s1, other)) == 1
+
+
+def test_feature_table_is_made_once_per_settings(spark, tmp_path):
+    from entitylink import api
+
+    a = api.feature_table(spark.range(3), str(tmp_path), {"k": 1})
+    assert a.count() == 3 and api.feature_table(spark.range(5), str(tmp_path), {"k": 1}).count() == 3
+    assert api.feature_table(spark.range(5), str(tmp_path), {"k": 2}).count() == 5
+
+
+def test_files_in_files_out(spark, tmp_path, capsys):
+    """Train, match, evaluate and validate from the command line, on tab-separated files."""
+    from entitylink.main import main
+
+    rng = random.Random(7)
+    names = [f"{rng.choice('bdgk')}{rng.choice('aeiou')}{rng.choice('lmnr')}{rng.choice('aeiou')}{i} {rng.choice(['Bakery', 'Garage', 'Motors'])}" for i in range(30)]
+    head = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
+    (tmp_path / "s1.tsv").write_text(head + "".join(f"S1-{i}\t{n} Ltd\t{i + 10} Hill Road {10000 + i}\tUS\n" for i, n in enumerate(names)))
+    (tmp_path / "s2.tsv").write_text(head + "".join(f"S2-{i}\t{n}\t{i + 10} Hill Rd {10000 + i}\tUS\n" for i, n in enumerate(names)))
+    (tmp_path / "truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\tS2-{i}\n" for i in range(20)))
+    at = lambda n: str(tmp_path / n)
+    both = ["--s1", at("s1.tsv"), "--others", at("s2.tsv")]
+    assert main(["train", *both, "--truth", at("truth.tsv"), "--model", at("model"), "--params", '{"max_depth": 2, "rounds": 2, "step_size": 0.5}']) == 0
+    assert main(["match", *both, "--model", at("model"), "--out", at("out")]) == 0
+    lines = [line for p in (tmp_path / "out" / "matching_results").glob("part-*") for line in p.read_text().splitlines() if line.startswith("S1-")]
+    assert len(lines) == 30 and "S1-3\tS2-3" in lines
+    capsys.readouterr()
+    assert main(["evaluate", *both, "--truth", at("truth.tsv"), "--model", at("model"), "--n", "5"]) == 0
+    assert '"entities": 4' in capsys.readouterr().out
+    check = ["validate", *both, "--matches", at("out/matching_results"), "--candidates", at("out/candidate_pairs"), "--check-ids"]
+    assert main(check) == 0 and "rows, empty lists, ids: 30" in capsys.readouterr().out
+    assert main(["validate", *both, "--matches", at("nowhere")]) == 1 and "does not exist" in capsys.readouterr().out
+
+
+def test_search_keeps_the_best_parameters(spark):
+    from entitylink import api
+
+    entities = spark.createDataFrame([(f"S1-{i}",) for i in range(40)], "s1_id string")
+    truth = spark.createDataFrame([(f"S1-{i}", f"S2-{i}") for i in range(40)], "s1_id string, cid string")
+    base = {f: 0.0 for f in features.FEATURES}
+    rows = spark.createDataFrame([{"s1_id": f"S1-{i}", "cid": f"S2-{j}", "label": int(i == j), **base, "name_ratio": 90.0 if i == j else 10.0} for i in range(40) for j in (i, i + 50)]).persist()
+    params, score = api.tune(rows, [{"max_depth": 1, "rounds": 1, "step_size": 0.5}, {"max_depth": 2, "rounds": 2, "step_size": 0.5}], entities, truth)
+    assert score == 1.0 and params["rounds"] in (1, 2)
