@@ -36,13 +36,13 @@ LEAST_CONFIDENCE = 0.5
 
 
 def described(live: DataFrame, stage: Stage) -> DataFrame:
-    """``id, sid, org, folded, given, line, bare, place`` and the address components of every record with a name."""
-    recs = stage.put("records", records(live))
+    """``id, as_s1, as_cand, sid, org, folded, given, line, bare, place`` and the address components of every record with a name."""
+    recs = stage.put("records", records(live, roles=True))
     named = recs.filter(F.col("name").isNotNull())
     orgs = stage.put("orgs", organisations(recs.select("name", "addr"), stage, keep_parts=True))
     places = locations(recs.filter(F.col("addr").isNotNull()).select("addr"), stage)
     full = named.join(orgs, "name").join(places, "addr", "left")
-    return stage.put("described", full.select("id", "sid", "org", "folded", "given", "line", F.col("place").isNull().alias("bare"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("place", *FIELDS)]))
+    return stage.put("described", full.select("id", "as_s1", "as_cand", "sid", "org", "folded", "given", "line", F.col("place").isNull().alias("bare"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("place", *FIELDS)]))
 
 
 def cascade(s1: DataFrame, cand: DataFrame, stage: Stage) -> DataFrame:
@@ -81,9 +81,7 @@ def confidences(found: DataFrame, known: DataFrame) -> DataFrame:
 def same_establishment(live: DataFrame, known: DataFrame, stage: Stage) -> DataFrame:
     """``s1_id, cand_id, rule, confidence``. A record without a name pairs with nothing; without labels every rule has confidence
     one half. An empty table gives an empty result."""
-    sides = live.select(F.inline(F.array(F.struct(F.col("s1_id").alias("id"), F.lit(1).alias("first")), F.struct(F.col("cand_id").alias("id"), F.lit(0).alias("first")))))
-    roles = sides.groupBy("id").agg((F.max("first") == 1).alias("as_s1"), (F.min("first") == 0).alias("as_cand"))
-    about = stage.put("about", described(live, stage).join(roles, "id"))
+    about = described(live, stage)
     s1, cand = about.filter("as_s1"), about.filter("as_cand")
     found = cascade(s1, cand, stage).filter("s1_id <> cand_id")
     return found.join(F.broadcast(confidences(found, known).select("rule", "confidence")), "rule").select("s1_id", "cand_id", "rule", F.col("confidence"))

@@ -77,22 +77,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sides(live: DataFrame) -> DataFrame:
-    """Both sides of every request as ``id, name, addr``, from one scan."""
-    return live.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("s1_id").alias("id"), F.col("s1_name").alias("name"), F.col("s1_addr").alias("addr")),
-                F.struct(F.col("cand_id").alias("id"), F.col("cand_name").alias("name"), F.col("cand_addr").alias("addr")),
-            )
-        )
-    ).filter(F.col("id").isNotNull())
+    """Both sides of every request as ``id, name, addr, first``, from one scan; ``first`` is 1 on the S1 side."""
+    side = lambda of, first: F.struct(F.col(f"{of}_id").alias("id"), F.col(f"{of}_name").alias("name"), F.col(f"{of}_addr").alias("addr"), F.lit(first).alias("first"))
+    return live.select(F.inline(F.array(side("s1", 1), side("cand", 0)))).filter(F.col("id").isNotNull())
 
 
-def records(live: DataFrame) -> DataFrame:
-    """One row ``id, name, addr`` per record id; a null where no request gives the value.
+def records(live: DataFrame, roles: bool = False) -> DataFrame:
+    """One row ``id, name, addr`` per record id; a null where no request gives the value. With ``roles`` also ``as_s1, as_cand``: the sides it stands on.
 
     Repeated rows collapse map-side before the shuffle, so a record that holds a large share of the requests costs one
     row per input partition.
     """
-    distinct = sides(live).dropDuplicates(["id", "name", "addr"])
-    return distinct.groupBy("id").agg(F.max("name").alias("name"), F.max("addr").alias("addr"))
+    columns = ["id", "name", "addr", *["first"] * roles]
+    distinct = sides(live).select(*columns).dropDuplicates(columns)
+    stood = [(F.max("first") == 1).alias("as_s1"), (F.min("first") == 0).alias("as_cand")] if roles else []
+    return distinct.groupBy("id").agg(F.max("name").alias("name"), F.max("addr").alias("addr"), *stood)
