@@ -76,8 +76,9 @@ def train_on(world, params: dict | None = None, rows: DataFrame | None = None) -
     """A model trained on the labelled entities with the trainer's defaults. A fifth of the entities stop it early; if a side of
     the split is empty, it trains all rounds on all rows."""
     kept: list[DataFrame] = []
-    rows = (training_rows(world, kept) if rows is None else rows).persist()
-    kept.append(rows)
+    if rows is None:
+        rows = training_rows(world, kept).persist()
+        kept.append(rows)
     try:
         # every split of every tree is a job: few rows in many partitions would be nothing but tasks
         sided = rows.join(training.split(world.entities, 0.2), "s1_id").repartition(rows.count() // TRAINING_PARTITION + 1)

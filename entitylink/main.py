@@ -53,15 +53,20 @@ def _lists(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def train(spark: SparkSession, a) -> int:
     """Trains, tunes the threshold on the validation entities, and stores the model with threshold, parameters and metrics."""
     world = api.Inputs(_records(spark, a.s1), _records(spark, *a.others), _lists(spark, a.truth, "matching"))
-    rows = api.training_rows(world)
+    kept: list[DataFrame] = []
+    rows = api.training_rows(world, kept)
     if a.features:
         rows = api.feature_table(rows, a.features, {"s1": a.s1, "others": a.others, "truth": a.truth})
+    kept.append(rows.persist())
     model = api.train_on(world, a.params, rows)
     valid = training.split(world.entities, 0.2).filter("is_validation").select("s1_id")
     valid = world.entities if valid.isEmpty() else valid
-    found = metrics.refined_threshold(valid, world.truth.join(valid, "s1_id", "left_semi"), scoring.score(model, rows.join(valid, "s1_id", "left_semi"))).first()
+    kept.append(scoring.score(model, rows.join(valid, "s1_id", "left_semi")).persist())
+    found = metrics.refined_threshold(valid, world.truth.join(valid, "s1_id", "left_semi"), kept[-1]).first()
     scores = found.asDict() if found else {"threshold": 0.5}
     scoring.save(model, a.model, {"threshold": scores.pop("threshold"), "parameters": scoring.DEFAULTS | a.params, "metrics": scores})
+    for df in kept:
+        df.unpersist()
     return 0
 
 

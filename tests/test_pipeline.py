@@ -218,22 +218,22 @@ def test_files_in_files_out(spark, tmp_path, capsys):
     from entitylink.main import main
 
     rng = random.Random(7)
-    names = [f"{rng.choice('bdgk')}{rng.choice('aeiou')}{rng.choice('lmnr')}{rng.choice('aeiou')}{i} {rng.choice(['Bakery', 'Garage', 'Motors'])}" for i in range(30)]
+    names = [f"{rng.choice('bdgk')}{rng.choice('aeiou')}{rng.choice('lmnr')}{rng.choice('aeiou')}{i} {rng.choice(['Bakery', 'Garage', 'Motors'])}" for i in range(12)]
     head = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
     (tmp_path / "s1.tsv").write_text(head + "".join(f"S1-{i}\t{n} Ltd\t{i + 10} Hill Road {10000 + i}\tUS\n" for i, n in enumerate(names)))
     (tmp_path / "s2.tsv").write_text(head + "".join(f"S2-{i}\t{n}\t{i + 10} Hill Rd {10000 + i}\tUS\n" for i, n in enumerate(names)))
-    (tmp_path / "truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\tS2-{i}\n" for i in range(20)))
+    (tmp_path / "truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\tS2-{i}\n" for i in range(10)))
     at = lambda n: str(tmp_path / n)
     both = ["--s1", at("s1.tsv"), "--others", at("s2.tsv")]
     assert main(["train", *both, "--truth", at("truth.tsv"), "--model", at("model"), "--params", '{"max_depth": 2, "rounds": 2, "step_size": 0.5}']) == 0
     assert main(["match", *both, "--model", at("model"), "--out", at("out")]) == 0
     lines = [line for p in (tmp_path / "out" / "matching_results").glob("part-*") for line in p.read_text().splitlines() if line.startswith("S1-")]
-    assert len(lines) == 30 and "S1-3\tS2-3" in lines
+    assert len(lines) == 12 and "S1-3\tS2-3" in lines
     capsys.readouterr()
     assert main(["evaluate", *both, "--truth", at("truth.tsv"), "--model", at("model"), "--n", "5"]) == 0
-    assert '"entities": 4' in capsys.readouterr().out
+    assert '"entities": 2' in capsys.readouterr().out
     check = ["validate", *both, "--matches", at("out/matching_results"), "--candidates", at("out/candidate_pairs"), "--check-ids"]
-    assert main(check) == 0 and "rows, empty lists, ids: 30" in capsys.readouterr().out
+    assert main(check) == 0 and "rows, empty lists, ids: 12" in capsys.readouterr().out
     assert main(["validate", *both, "--matches", at("nowhere")]) == 1 and "does not exist" in capsys.readouterr().out
 
 
