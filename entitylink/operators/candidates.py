@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from ..functions.tokens import blocking_tokens, selective_words
 from . import index, nearest
 
 CHANNELS = {"cosine": 0, "exact": 1, "stem": 2, "compact": 3, "rare": 4, "anchor": 5}
+# Score and rank of what the hash channels find.
+GIVEN = {"exact": (1.0, 0), "stem": (0.98, 0), "compact": (0.95, 0), "rare": (0.85, 1), "anchor": (0.8, 2)}
 
 
 def _first(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
@@ -56,11 +60,16 @@ def cosine_topk(queries: DataFrame, candidates: DataFrame, k: int = 25, min_scor
     return best.select("s1_id", "cid", "score", F.col("turn").alias("rank"))
 
 
-def _bucket(queries: DataFrame, entries: DataFrame, keys: list[str], cap: int, score: float, rank: int) -> DataFrame:
-    """Queries joined to the first ``cap`` entries of their bucket. The cap is applied to the bucket, before the join: its size
-    doesn't multiply with the queries of the same key."""
+def _bucket(queries: DataFrame, entries: DataFrame, keys: list[str], cap: int) -> DataFrame:
+    """Queries joined to the first ``cap`` entries of their bucket; a pair of several buckets comes several times. The cap is applied to
+    the bucket, before the join: its size doesn't multiply with the queries of the same key."""
     head = _first(entries, keys, [F.asc("cid")], cap).drop("turn")
-    return queries.join(head, keys).select("s1_id", "cid", F.lit(score).alias("score"), F.lit(rank).alias("rank")).distinct()
+    return queries.join(head, keys).select("s1_id", "cid")
+
+
+def _channel(pairs: DataFrame, name: str) -> DataFrame:
+    score, rank = GIVEN[name]
+    return pairs.distinct().select("s1_id", "cid", F.lit(score).alias("score"), F.lit(rank).alias("rank"))
 
 
 def _q(queries: DataFrame, key: Column, name: str = "key") -> DataFrame:
@@ -71,46 +80,69 @@ def _c(candidates: DataFrame, key: Column, name: str = "key") -> DataFrame:
     return candidates.select("country", F.col("entity_id").alias("cid"), key.alias(name))
 
 
-def exact_name(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+def _exact_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     cn = F.col("cn")
-    return _bucket(_q(queries, cn).filter("key <> ''"), _c(candidates, cn).filter("key <> ''"), ["country", "key"], 50, 1.0, 0)
+    return _bucket(_q(queries, cn).filter("key <> ''"), _c(candidates, cn).filter("key <> ''"), ["country", "key"], 50)
 
 
-def legal_stem(queries: DataFrame, candidates: DataFrame) -> DataFrame:
-    """One-sided: a candidate is found by its stem only if the stem differs from its name."""
+def _stem_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     stem = text.legal_stem(F.col("cn"))
     entries = _c(candidates.filter(stem != F.col("cn")), stem).filter("length(key) >= 3")
-    return _bucket(_q(queries, stem).filter("length(key) >= 3"), entries, ["country", "key"], 40, 0.98, 0)
+    return _bucket(_q(queries, stem).filter("length(key) >= 3"), entries, ["country", "key"], 40)
 
 
-def compact_name(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+def _compact_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     cp = text.compact(F.col("cn"))
-    return _bucket(_q(queries, cp).filter("length(key) >= 4"), _c(candidates, cp).filter("length(key) >= 4"), ["country", "key"], 40, 0.95, 0)
+    return _bucket(_q(queries, cp).filter("length(key) >= 4"), _c(candidates, cp).filter("length(key) >= 4"), ["country", "key"], 40)
 
 
-def rare_token(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+def _rare_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     q = queries.select("country", F.col("entity_id").alias("s1_id"), F.explode(F.array_distinct(selective_words(F.col("cn")))).alias("word"))
-    return _bucket(q, index.selective_index(candidates), ["country", "word"], 25, 0.85, 1)
+    return _bucket(q, index.selective_index(candidates), ["country", "word"], 25)
 
 
-def address_anchor(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+def _anchor_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     q = queries.filter("ca <> ''").select(
         "country", F.col("entity_id").alias("s1_id"), F.array_union(text.numbers(F.col("cn")), text.numbers(F.col("ca"))).alias("nums"),
         F.array_distinct(F.slice(selective_words(F.col("ca")), 1, 8)).alias("ws"),
     )
     q = q.select("country", "s1_id", F.explode("nums").alias("num"), "ws").select("country", "s1_id", "num", F.explode("ws").alias("word"))
-    found = q.join(index.anchor_buckets(candidates), ["country", "num", "word"])
-    return found.select("s1_id", "cid", F.lit(0.8).alias("score"), F.lit(2).alias("rank")).distinct()
+    return q.join(index.anchor_buckets(candidates), ["country", "num", "word"]).select("s1_id", "cid")
+
+
+def exact_name(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    return _channel(_exact_pairs(queries, candidates), "exact")
+
+
+def legal_stem(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    """One-sided: a candidate is found by its stem only if the stem differs from its name."""
+    return _channel(_stem_pairs(queries, candidates), "stem")
+
+
+def compact_name(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    return _channel(_compact_pairs(queries, candidates), "compact")
+
+
+def rare_token(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    return _channel(_rare_pairs(queries, candidates), "rare")
+
+
+def address_anchor(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    return _channel(_anchor_pairs(queries, candidates), "anchor")
 
 
 def union_channels(queries: DataFrame, candidates: DataFrame, k: int = 25, min_score: float = 0.008) -> DataFrame:
-    """``s1_id, cid, channel, score, rank``: all channels, each pair once with the score and rank of its first channel."""
-    found = {
-        "cosine": cosine_topk(queries, candidates, k, min_score), "exact": exact_name(queries, candidates), "stem": legal_stem(queries, candidates),
-        "compact": compact_name(queries, candidates), "rare": rare_token(queries, candidates), "anchor": address_anchor(queries, candidates),
-    }
-    every = None
-    for name, df in found.items():
-        df = df.select("s1_id", "cid", F.struct(F.lit(CHANNELS[name]).alias("prio"), F.lit(name).alias("channel"), "score", "rank").alias("hit"))
-        every = df if every is None else every.unionByName(df)
-    return every.groupBy("s1_id", "cid").agg(F.min("hit").alias("hit")).select("s1_id", "cid", "hit.channel", "hit.score", "hit.rank")
+    """``s1_id, cid, channel, score, rank``: all channels, each pair once with the score and rank of its first channel.
+
+    Only the channel's number is shuffled with a pair; scores and ranks are fixed in all channels but the cosine, which goes before the others.
+    """
+    every = cosine_topk(queries, candidates, k, min_score).select("s1_id", "cid", F.lit(CHANNELS["cosine"]).alias("prio"), "score", "rank")
+    for name, pairs in (("exact", _exact_pairs), ("stem", _stem_pairs), ("compact", _compact_pairs), ("rare", _rare_pairs), ("anchor", _anchor_pairs)):
+        found = pairs(queries, candidates).select("s1_id", "cid", F.lit(CHANNELS[name]).alias("prio"))
+        every = every.unionByName(found, allowMissingColumns=True)
+    first = every.groupBy("s1_id", "cid").agg(F.min("prio").alias("prio"), F.max("score").alias("score"), F.max("rank").alias("rank"))
+    of = lambda values, other: reduce(lambda c, name: F.when(F.col("prio") == CHANNELS[name], F.lit(values[name])).otherwise(c), values, other)
+    return first.select(
+        "s1_id", "cid", of({name: name for name in CHANNELS}, F.lit("")).alias("channel"),
+        of({name: v[0] for name, v in GIVEN.items()}, F.col("score")).alias("score"), of({name: v[1] for name, v in GIVEN.items()}, F.col("rank")).alias("rank"),
+    )

@@ -62,3 +62,18 @@ def test_no_row_for_each_shared_token(spark):
     plan = candidates.cosine_topk(records(spark, "S1", 5), records(spark, "S2", 5))._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan
 
+
+def test_union_takes_the_first_channel_once(spark):
+    queries, pool = records(spark, "S1", 30), records(spark, "S2", 60)
+    rows = candidates.union_channels(queries, pool, 3).collect()
+    assert len({(r.s1_id, r.cid) for r in rows}) == len(rows)
+    cosine = {(r.s1_id, r.cid): r.rank for r in candidates.cosine_topk(queries, pool, 3).collect()}
+    exact = {(r.s1_id, r.cid) for r in candidates.exact_name(queries, pool).collect()}
+    for r in rows:
+        key = (r.s1_id, r.cid)
+        if key in cosine:
+            assert (r.channel, r.rank) == ("cosine", cosine[key])
+        elif key in exact:
+            assert (r.channel, r.score, r.rank) == ("exact", 1.0, 0)
+        else:
+            assert (r.channel, r.score, r.rank) in {("stem", 0.98, 0), ("compact", 0.95, 0), ("rare", 0.85, 1), ("anchor", 0.8, 2)}
