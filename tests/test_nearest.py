@@ -77,3 +77,12 @@ def test_union_takes_the_first_channel_once(spark):
             assert (r.channel, r.score, r.rank) == ("exact", 1.0, 0)
         else:
             assert (r.channel, r.score, r.rank) in {("stem", 0.98, 0), ("compact", 0.95, 0), ("rare", 0.85, 1), ("anchor", 0.8, 2)}
+
+
+def test_hard_negatives_read_the_pairs_once(spark):
+    from entitylink.operators import training
+
+    pairs = spark.createDataFrame([("a", f"c{i}", i % 3, int(i == 5)) for i in range(9)], "s1_id string, cid string, rank int, label int")
+    found = training.hard_negatives(pairs, 2)
+    assert sorted(r.cid for r in found.collect()) == ["c0", "c3", "c5"]
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
