@@ -583,7 +583,8 @@ _SQL["hard_negatives"] = _after(["united", "gt", "ents"], _LAB_PAIRS, "select s1
 @query(["united", "gt", "c"], "select s1_id, cid, 0.0::double score, 99 as rank, 1 as label from gt g where not exists (select 1 from united u where u.s1_id = g.s1_id and u.cid = g.cid) and cid in (select entity_id from c)")
 def missed_positives(spark, d):
     w = World(spark, d)
-    return training.missed_positives(w.truth, candidates.union_channels(w.q, w.c), w.c)
+    owners = w.truth.select(F.col("s1_id").alias("entity_id")).distinct()  # other records' candidates can't hold a true pair
+    return training.missed_positives(w.truth, candidates.union_channels(w.q.join(owners, "entity_id", "left_semi"), w.c), w.c)
 
 
 @query()

@@ -86,3 +86,20 @@ def test_hard_negatives_read_the_pairs_once(spark):
     found = training.hard_negatives(pairs, 2)
     assert sorted(r.cid for r in found.collect()) == ["c0", "c3", "c5"]
     assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_missed_positives_block_only_records_with_true_pairs(spark, tmp_path, monkeypatch):
+    from entitylink.plans import catalog
+
+    for n, rows in ((1, [("S1-1", "alpha"), ("S1-2", "bravo")]), (2, [("S2-1", "alpha"), ("S2-2", "kilo")]), (3, [("S3-1", "bravo")])):
+        spark.createDataFrame([(*r, "", "X") for r in rows], "entity_id string, business_name string, business_address string, country string").write.parquet(f"{tmp_path}/source{n}.parquet")
+    spark.createDataFrame([("S1-1", "S2-1, S2-2"), ("S1-2", "")], "source1_entity_id string, matched_entity_ids string").write.parquet(f"{tmp_path}/known_matches.parquet")
+    seen, real = [], candidates.union_channels
+
+    def union(queries, pool, *rest):
+        seen.extend(r.entity_id for r in queries.collect())
+        return real(queries, pool, *rest)
+
+    monkeypatch.setattr(candidates, "union_channels", union)
+    assert [(r.s1_id, r.cid) for r in catalog.queries()["missed_positives"](spark, str(tmp_path)).collect()] == [("S1-1", "S2-2")]
+    assert seen == ["S1-1"]
