@@ -35,18 +35,34 @@ RULES = [
 LEAST_CONFIDENCE = 0.5
 
 
+#: What the rules look at. Records that are equal in it are one profile.
+SEEN = ("sid", "org", "folded", "given", "line", "bare", "place", *FIELDS)
+
+
 def described(live: DataFrame, stage: Stage) -> DataFrame:
-    """``id, as_s1, as_cand, sid, org, folded, given, line, bare, place`` and the address components of every record with a name."""
+    """``id, as_s1, as_cand, profile`` and what the rules look at of every record with a name; ``profile`` is the number of its spelling and place."""
     recs = stage.put("records", records(live, roles=True))
     named = recs.filter(F.col("name").isNotNull())
     orgs = stage.put("orgs", organisations(recs.select("name", "addr"), stage, keep_parts=True))
     places = locations(recs.filter(F.col("addr").isNotNull()).select("addr"), stage)
     full = named.join(orgs, "name").join(places, "addr", "left")
-    return stage.put("described", full.select("id", "as_s1", "as_cand", "sid", "org", "folded", "given", "line", F.col("place").isNull().alias("bare"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("place", *FIELDS)]))
+    full = full.withColumn("bare", F.col("place").isNull()).withColumns({c: F.coalesce(c, F.lit("")) for c in ("place", *FIELDS)})
+    return stage.put("described", full.select("id", "as_s1", "as_cand", F.xxhash64("sid", "place").alias("profile"), *SEEN))
+
+
+def profiles(about: DataFrame) -> DataFrame:
+    """One row for each profile, its number as ``id``; on a side if one of its records is."""
+    return about.groupBy(F.col("profile").alias("id"), *SEEN).agg(F.max("as_s1").alias("as_s1"), F.max("as_cand").alias("as_cand"))
+
+
+def record_pairs(found: DataFrame, s1: DataFrame, cand: DataFrame) -> DataFrame:
+    """``s1_id, cand_id, rule`` of the records ``id, profile`` of both sides, from pairs of profiles ``pa, pb, rule``."""
+    one, two = s1.select(F.col("id").alias("s1_id"), F.col("profile").alias("pa")), cand.select(F.col("id").alias("cand_id"), F.col("profile").alias("pb"))
+    return found.join(one, "pa").join(two, "pb").filter("s1_id <> cand_id").drop("pa", "pb")
 
 
 def cascade(s1: DataFrame, cand: DataFrame, stage: Stage) -> DataFrame:
-    """``s1_id, cand_id, rule``: each pair with the number of the first rule that finds it."""
+    """``s1_id, cand_id, rule``: each pair of rows of both sides with the number of the first rule that finds it."""
     found = None
     for number, (_, keys, test) in enumerate(RULES):
         a, b = s1.alias("a"), cand.alias("b")
@@ -68,11 +84,11 @@ def _ids(joined: DataFrame) -> DataFrame:
     return joined.select(F.col("a.id").alias("s1_id"), F.col("b.id").alias("cand_id"))
 
 
-def confidences(found: DataFrame, known: DataFrame) -> DataFrame:
+def confidences(found: DataFrame, s1: DataFrame, cand: DataFrame, known: DataFrame) -> DataFrame:
     """``rule, labelled, right, confidence`` of every rule: (right + 1) / (labelled + 2) over pairs of labelled source-1 records."""
     truth = match_lists(known).filter(F.col("m").isNotNull()).select(F.col("s1").alias("s1_id"), F.col("m").alias("cand_id")).distinct().withColumn("right", F.lit(1))
-    entities = match_lists(known).select(F.col("s1").alias("s1_id")).distinct()
-    judged = found.join(entities, "s1_id", "left_semi").join(truth, ["s1_id", "cand_id"], "left")
+    entities = match_lists(known).select(F.col("s1").alias("id")).distinct()
+    judged = record_pairs(found, s1.join(entities, "id", "left_semi"), cand).join(truth, ["s1_id", "cand_id"], "left")
     by = judged.groupBy("rule").agg(F.count(F.lit(1)).alias("labelled"), F.count("right").alias("right"))
     every = found.sparkSession.range(len(RULES)).select(F.col("id").cast("int").alias("rule"))
     return every.join(by, "rule", "left").fillna(0).withColumn("confidence", (F.col("right") + 1) / (F.col("labelled") + 2))
@@ -80,9 +96,13 @@ def confidences(found: DataFrame, known: DataFrame) -> DataFrame:
 
 def same_establishment(live: DataFrame, known: DataFrame, stage: Stage) -> DataFrame:
     """``s1_id, cand_id, rule, confidence``. A record without a name pairs with nothing; without labels every rule has confidence
-    one half. An empty table gives an empty result."""
+    one half. An empty table gives an empty result.
+
+    Each pair of profiles goes through the cascade once, however many records have them; it becomes pairs of records at the end.
+    """
     about = described(live, stage)
+    alike = stage.put("profiles", profiles(about))
+    found = cascade(alike.filter("as_s1"), alike.filter("as_cand"), stage).withColumnsRenamed({"s1_id": "pa", "cand_id": "pb"})
     s1, cand = about.filter("as_s1"), about.filter("as_cand")
-    found = cascade(s1, cand, stage).filter("s1_id <> cand_id")
-    return found.join(F.broadcast(confidences(found, known).select("rule", "confidence")), "rule").select("s1_id", "cand_id", "rule", F.col("confidence"))
-
+    rules = confidences(found, s1, cand, known).select("rule", "confidence")
+    return record_pairs(found.join(F.broadcast(rules), "rule"), s1, cand).select("s1_id", "cand_id", "rule", "confidence")

@@ -2,8 +2,8 @@
 
 1. Each distinct stored name is parsed (names.py); names with the same brand, given name and line are one *spelling*, one vector.
 2. Spellings become vectors of the character trigrams of the brand, weighted by a smoothed inverse document frequency.
-3. A join on pairs of neighbouring trigrams finds the spellings of one line, or of a line and none, whose cosine reaches COSINE; an
-   exact check follows: typing slips must explain the difference, and line and given name must agree.
+3. A join on what is left of a brand without one or two of its letters finds all spellings of one line, or of a line and none, whose difference
+   typing slips explain; line and given name must agree, and the cosine must reach COSINE.
 4. The TOP_N nearest of every spelling connect it; what lies beyond is compared only where it would connect further components.
 5. Connected spellings are grouped by average linkage on the thresholded cosines (0 below the threshold), in which spellings of
    different lines or given names repel. Small components are linked in one task each, large ones in distributed rounds, on the
@@ -43,6 +43,10 @@ UNIT = 1000
 IN_ONE_TASK = 400
 #: Spellings of one key from which the key's left side is split over several tasks.
 HOT_KEY = 2000
+#: Letters up to which brands meet on all that deletions leave of them. Longer ones have at least 2 END + 1 letters, also the shorter of a pair.
+LONG, END = 24, 11
+# Odd numbers for hashes of letters and their places.
+BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 # Fixed value: rows of a keyboard, for slips to a neighbouring key.
 _ROWS = ["qwertyuiop", "asdfghjkl", "zxcvbnm"]
@@ -197,37 +201,93 @@ def _meet(left: DataFrame, right: DataFrame, keys: list[str], test: str) -> Data
     return a.alias("a").join(b.alias("b"), F.expr(on)).filter(test).select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"))
 
 
+def deletion_keys(brands: list[str]) -> list[np.ndarray]:
+    """For each brand, hashes of what is left of it when no letter or as many letters as it may have slips are left out, and all numbers between.
+
+    A slip leaves out, doubles, swaps or replaces one letter, so two brands that differ by ``k`` slips have the same rest after at most
+    ``k`` deletions in each. Brands of more than LONG letters have none here. A hash is the sum of the letters' numbers times powers
+    of BASE, 64 bits of it, so those of all rests come from three running sums; equal hashes of unlike rests cost a comparison only.
+    """
+    found: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(brands)
+    by_length: dict[int, list[int]] = {}
+    for at, brand in enumerate(brands):
+        by_length.setdefault(len(brand), []).append(at)
+    for n, rows in by_length.items():
+        if n > LONG:
+            continue
+        letters = np.array([[ord(ch) for ch in brands[at]] for at in rows], dtype=np.uint64).reshape(len(rows), n) + np.uint64(1)
+        letters = letters * _MIX
+        letters = (letters ^ (letters >> np.uint64(29))) * _MIX
+        power = np.cumprod(np.full(n + 2, BASE, dtype=np.uint64))
+        # running sums of letters that have none, one and two deletions before them
+        q0, q1, q2 = (np.concatenate([np.zeros((len(rows), 1), dtype=np.uint64), np.cumsum(letters * power[2 - d : n + 2 - d], axis=1)], axis=1) for d in range(3))
+        kept, most = [q0[:, n:]], allowed_slips("x" * n, "x" * n)
+        if most >= 1:
+            kept.append(q0[:, :-1] + q1[:, n:] - q1[:, 1:])
+        if most >= 2:
+            i, j = np.triu_indices(n, 1)
+            kept.append(q0[:, i] + q1[:, j] - q1[:, i + 1] + q2[:, n:] - q2[:, j + 1])
+        for at, hashes in zip(rows, np.concatenate(kept, axis=1).view(np.int64)):
+            found[at] = np.unique(hashes)
+    return found
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _deletion_keys(brands: pd.Series) -> pd.Series:
+    return pd.Series(deletion_keys(list(brands)))
+
+
+def _slipped(x: str, y: str) -> Column:
+    """Whether typing slips explain the difference of two brands."""
+
+    @F.pandas_udf("boolean")
+    def explained(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([slips(v, w, SLIPS) <= allowed_slips(v, w) for v, w in zip(a, b)], dtype=bool)
+
+    return explained(x, y)
+
+
+def near_forms(forms: DataFrame) -> DataFrame:
+    """``fa, fb``: all pairs of different rows of ``form, folded, block, has`` whose brands typing slips make of each other, with equal ``has``, and
+    equal blocks or none on one side.
+
+    They meet on what deletions leave of both, which few other brands share, so the pairs looked at grow as those found. A long brand has many
+    such rests; two slips leave its first or its last END letters with at most one, so long ones meet on those without one letter.
+    """
+    tasks = max(2 * forms.sparkSession.sparkContext.defaultParallelism, int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # a fixed number of partitions: few bytes become many rows here
+    forms = forms.repartition(tasks, "form").dropDuplicates(["form"])
+    block = "(a.block = b.block or a.block = hash('') or b.block = hash(''))"
+    keyed = forms.select("form", F.hash("block").alias("block"), "has", F.explode(_deletion_keys("folded")).alias("key")).select("form", "block", (F.col("key") + F.col("has").cast("long")).alias("key"))
+    # the optimiser takes the keys for as few bytes as the brands, and would broadcast them
+    short = keyed.alias("a").hint("merge").join(keyed.alias("b").hint("merge"), F.expr(f"a.key = b.key and a.form < b.form and {block}")).select(F.col("a.form").alias("fa"), F.col("b.form").alias("fb"))
+    ends = f"array_distinct(flatten(array(transform(sequence(1, {END}), i -> concat('^', substring(folded, 1, i - 1), substring(folded, i + 1, {END} - i))), transform(sequence(1, {END}), i -> concat('$', substring(right(folded, {END}), 1, i - 1), substring(right(folded, {END}), i + 1))))))"
+    ended = forms.filter(F.length("folded") >= LONG - 1).select(F.col("form").alias("sid"), "folded", F.hash("block").alias("block"), "has", F.explode(F.expr(ends)).alias("key"))
+    long = _meet(ended, ended, ["has", "key"], f"a.sid < b.sid and {block} and greatest(length(a.folded), length(b.folded)) > {LONG} and abs(length(a.folded) - length(b.folded)) <= 2 and levenshtein(a.folded, b.folded, 4) >= 0")
+    pairs = short.unionByName(long.select(F.col("a").alias("fa"), F.col("b").alias("fb"))).distinct()
+    brand = lambda f, as_: forms.select(F.col("form").alias(f), F.col("folded").alias(as_))
+    return pairs.join(brand("fa", "x"), "fa").join(brand("fb", "y"), "fb").filter(_slipped("x", "y")).select("fa", "fb")
+
+
 def similar_spellings(parts: DataFrame, stage: Stage) -> DataFrame:
     """``a, b, s``: pairs of spellings with a cosine of at least COSINE (``s``, in thousandths) which typing slips explain, of agreeing
     line and given name.
 
-    Keys are runs of two neighbouring trigrams. Two slips leave at most three runs of shared trigrams, and with near-equal weights a pair that
-    reaches the cosine shares more trigrams than that; so it shares a key. The length, edit distance and given-name tests inside the join are implied by the exact check.
+    Spellings of one brand, first word of the line, and given name or none, are one form. Pairs of forms are found first, all that slips explain; so the join is
+    complete. Spellings then meet by their forms.
     """
-    words = parts.dropDuplicates(["sid"]).select("sid", "folded", "given", "line", F.concat(F.lit("^"), "folded", F.lit("$")).alias("padded"), F.split("line", " ")[0].alias("block"))
-    words = stage.put("words", words)
-    full = stage.put("vectors", words.select("sid", "folded", "given", "line").join(vectors(words), "sid"))
     # nicknames begin with other letters than the name, so given names are compared only by being there
-    posting = words.select("sid", "folded", "block", (F.col("given") != "").alias("has"), F.length("folded").alias("n"), F.explode(_grams("padded", GRAM + 1)).alias("gram"))
-    near = "abs(a.n - b.n) <= 2 and levenshtein(a.folded, b.folded, 4) >= 0"
-    one_line = _meet(posting, posting, ["block", "has", "gram"], f"a.sid < b.sid and {near}")
-    # spellings without a line meet those of any line on the same keys; the length in the key, which a pair may differ by 2 in, splits frequent ones
-    lined = posting.filter("block <> ''").withColumn("m", F.col("n"))
-    bare = posting.filter("block = ''").withColumn("m", F.explode(F.expr("sequence(n - 2, n + 2)")))
-    no_line = _meet(lined, bare, ["has", "gram", "m"], near)
-    pairs = one_line.unionByName(no_line).distinct()
+    words = parts.dropDuplicates(["sid"]).select("sid", "folded", "given", "line", F.concat(F.lit("^"), "folded", F.lit("$")).alias("padded"), F.split("line", " ")[0].alias("block"), (F.col("given") != "").alias("has"))
+    words = stage.put("words", words.withColumn("form", F.xxhash64("folded", "block", "has")))
+    full = stage.put("vectors", vectors(words))
+    forms = stage.put("forms", near_forms(words.select("form", "folded", "block", "has")))
+    own = words.select("sid", "form", "given", "line")
+    near = own.join(forms, F.col("form") == F.col("fa")).select("sid", F.col("fb").alias("form"), "given", "line", F.lit(False).alias("own"))
+    pairs = _meet(own.withColumn("own", F.lit(True)).unionByName(near), own, ["form"], f"(not a.own or a.sid < b.sid) and {_agree('a', 'b')}")
     dot = "aggregate(array_intersect(a.vec, b.vec), 0L, (t, x) -> t + (x & 255))"
-    close = (
-        pairs.alias("p").join(full.alias("a"), F.expr("p.a = a.sid")).join(full.alias("b"), F.expr("p.b = b.sid")).filter(_agree("a", "b"))
-        .select("p.a", "p.b", F.col("a.folded").alias("x"), F.col("b.folded").alias("y"), F.expr(f"cast(round({UNIT} * {dot} / sqrt(a.norm * b.norm)) as int)").alias("s"))
-        .filter(F.col("s") >= round(COSINE * UNIT))
-    )
-
-    @F.pandas_udf("boolean")
-    def slipped(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([slips(a, b, SLIPS) <= allowed_slips(a, b) for a, b in zip(x, y)], dtype=bool)
-
-    return close.filter(slipped("x", "y")).select("a", "b", "s")
+    cosine = F.expr(f"cast(round({UNIT} * {dot} / sqrt(a.norm * b.norm)) as int)")
+    close = pairs.alias("p").join(full.alias("a"), F.expr("p.a = a.sid")).join(full.alias("b"), F.expr("p.b = b.sid")).select("p.a", "p.b", cosine.alias("s"))
+    return close.filter(F.col("s") >= round(COSINE * UNIT))
 
 
 def nearest(edges: DataFrame, n: int) -> DataFrame:

@@ -144,6 +144,44 @@ def test_similar_spellings_against_all_pairs(spark):
     assert all(abs(got[k] - expected[k]) <= 1 for k in got)
 
 
+def test_near_forms_against_all_pairs(spark):
+    """Every pair that slips explain is found, of short brands and of those around and above the length with keys of all deletions."""
+    ship(spark)
+    rng = random.Random(21)
+    letters = "aeiklnorst"
+    brands = {"".join(rng.choices(letters, k=n)) for n in [4, 5, 6, 7, 8, 9, 12, 21, 22, 23, 24, 25, 26, 27, 40] for _ in range(4)} | {"x" * 3000}
+    for b in sorted(brands):
+        for _ in range(8):
+            w = list(b)
+            for _ in range(rng.choice([1, 2, 2])):
+                at = rng.randrange(len(w) - 1)
+                w[at : at + 2] = rng.choice([w[at : at + 2][::-1], w[at : at + 1], [w[at], *w[at : at + 2]], [w[at], rng.choice(letters)]])
+            brands.add("".join(w))
+    rows = [(i, b, rng.choice(["", "bakery", "law"]), rng.random() < 0.2) for i, b in enumerate(sorted(brands))]
+    forms = spark.createDataFrame(rows, "form bigint, folded string, block string, has boolean")
+    got = [tuple(r) for r in variants.near_forms(forms).collect()]
+    allowed = lambda x, y: variants.slips(x[1], y[1], 2.0) <= variants.allowed_slips(x[1], y[1]) and x[3] == y[3] and (x[2] == y[2] or "" in (x[2], y[2]))
+    expected = {(x[0], y[0]) for x in rows for y in rows if x[0] < y[0] and abs(len(x[1]) - len(y[1])) <= 2 and allowed(x, y)}
+    assert len(expected) > 200 and len(got) == len(set(got)) and set(got) == expected
+
+
+def test_pairs_compared_follow_pairs_found():
+    """Brands of few syllables, all with one ending, share many runs of letters; keys of four times the brands bring few of them together."""
+    rng = random.Random(4)
+    syllables = [c + v for c in "bdfghklmnprstvwz" for v in "aeiou"]
+    brands = sorted({"".join(rng.choices(syllables, k=4)) + "bran" for _ in range(1200)})
+    seen = {}
+    for i, keys in enumerate(variants.deletion_keys(brands)):
+        assert len(keys) == len({w for n in range(3) for w in rests(brands[i], n)})
+        for k in keys:
+            seen.setdefault(k, []).append(i)
+    assert len({(x, y) for at in seen.values() for x in at for y in at if x < y}) < len(brands)
+
+
+def rests(word, n):
+    return {word} if n == 0 else {w[:i] + w[i + 1 :] for w in rests(word, n - 1) for i in range(len(w))}
+
+
 def test_slips_in_tables_of_a_few_names(spark):
     """One swap, with the line and without, in a table of four names; a town at the end is no part of a name."""
     recs = spark.createDataFrame(
@@ -247,3 +285,16 @@ def test_same_establishment(spark):
     assert not any(s == "S1-2" for s, _ in found)
     assert all(0 < r.confidence < 1 for r in got)
     assert establishments.same_establishment(live(spark, []), known.limit(0), Stage(spark, "t")).count() == 0
+
+
+def test_repeated_records_go_through_the_rules_once(spark, monkeypatch):
+    """Thirty records a side with one name and place, and a candidate without an address: all pairs come out, two profiles go in."""
+    rows = [(f"S1-{i}", "Mordra Brunbrel Brewery Ltd", "12 Gorfuwel Court, Lorliville, WB 32218", f"S2-{i}", "Mordra Brunbrel, Brewery", "12 Gorfuwel Ct, Lorliville, WB 32218", 1.0, 1) for i in range(30)]
+    rows.append(("S1-0", None, None, "S3-1", "Mordra Brunbrel Brewery", "N/A", 1.0, 1))
+    given, real = [], establishments.cascade
+    monkeypatch.setattr(establishments, "cascade", lambda s1, cand, stage: given.append((s1.count(), cand.count())) or real(s1, cand, stage))
+    known = spark.createDataFrame([("S1-1", "S2-1")], "source1_entity_id string, matched_entity_ids string")
+    got = establishments.same_establishment(live(spark, rows), known, Stage(spark, "t")).collect()
+    assert given == [(1, 2)]
+    assert sorted((r.s1_id, r.cand_id, r.rule) for r in got) == sorted([(f"S1-{i}", f"S2-{j}", 0) for i in range(30) for j in range(30)] + [(f"S1-{i}", "S3-1", 6) for i in range(30)])
+    assert {r.rule: round(r.confidence, 6) for r in got} == {0: round(2 / 32, 6), 6: round(1 / 3, 6)}
