@@ -246,3 +246,22 @@ def test_search_keeps_the_best_parameters(spark):
     rows = spark.createDataFrame([{"s1_id": f"S1-{i}", "cid": f"S2-{j}", "label": int(i == j), **base, "name_ratio": 90.0 if i == j else 10.0} for i in range(40) for j in (i, i + 50)]).persist()
     params, score = api.tune(rows, [{"max_depth": 1, "rounds": 1, "step_size": 0.5}, {"max_depth": 2, "rounds": 2, "step_size": 0.5}], entities, truth)
     assert score == 1.0 and params["rounds"] in (1, 2)
+
+
+def test_registered_queries_train_with_the_defaults(spark, tmp_path, monkeypatch):
+    from entitylink.plans import catalog
+
+    for n, rows in ((1, S1), (2, OTHER[:2]), (3, OTHER[2:4])):
+        spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / f"source{n}.parquet"))
+    spark.createDataFrame([("S1-4", "S2-1"), ("S1-2", "S3-1")], "source1_entity_id string, matched_entity_ids string").write.parquet(str(tmp_path / "known_matches.parquet"))
+    used = []
+
+    def train(labelled, params=None, validation=None):
+        used.append(scoring.DEFAULTS | (params or {}))
+        raise InterruptedError
+
+    monkeypatch.setattr(scoring, "train", train)
+    for name in ("model_score", "feature_importance", "run_pipeline"):
+        with pytest.raises(InterruptedError):
+            catalog.queries()[name](spark, str(tmp_path))
+    assert used == [scoring.DEFAULTS] * 3
